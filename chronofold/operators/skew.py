@@ -27,12 +27,15 @@ def hot_keys(df: DataFrame, keys: Sequence[str], *, min_rows: int = MIN_ROWS, ma
     return counts.withColumn("__target", total).where(F.col("__n") > F.col("__target"))
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", *, min_rows: int = MIN_ROWS, max_hot: int = MAX_HOT, salts: int = SALTS, salt_by: Sequence[str] = ()) -> DataFrame:
+def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", *, min_rows: int = MIN_ROWS, max_hot: int = MAX_HOT, salts: int = SALTS, salt_by: Sequence[str] = (), left_rows: int | None = None) -> DataFrame:
     """Equi-join whose hot keys of ``left`` are spread over ``salts`` tasks each.
 
     Rows of ``right`` are repeated ``salts`` times for hot keys only. ``how`` is inner, left,
     left_semi or left_anti. Null keys never match. Columns other than the keys must have different names.
+    ``left_rows``, if known, saves the search for hot keys where there are too few rows for one.
     """
+    if left_rows is not None and left_rows <= min_rows:
+        return left.join(right, list(keys), how)
     hot = F.broadcast(hot_keys(left.select(*keys), keys, min_rows=min_rows, max_hot=max_hot).select(*keys, F.lit(True).alias("__hot")))
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in (salt_by or left.columns)]), F.lit(salts)).cast("int")
     a = left.join(hot, list(keys), "left").withColumn("__salt", F.when(F.col("__hot"), salt).otherwise(F.lit(0))).drop("__hot")
