@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronofold.operators.skew import MAX_HOT, MIN_ROWS, time_shards, with_shards
+from chronofold.operators.skew import MAX_HOT, MIN_ROWS, carried_in, time_shards, with_shards
 
 
 @dataclass(frozen=True)
@@ -68,7 +68,7 @@ def asof_state(events: DataFrame, facts: Sequence[Fact], entity: str, event_time
     carried = cut.where(F.col("__hot")).groupBy("__e", "__shard").agg(*[_fold(agg, F.col(f"__s_{out}")).alias(f"__s_{out}") for out, (agg, _) in spark_states.items()])
     shards_before = Window.partitionBy("__e").orderBy("__shard").rowsBetween(Window.unboundedPreceding, -1)
     carried = carried.select("__e", "__shard", *[_fold(agg, F.col(f"__s_{out}"), shards_before).alias(f"__c_{out}") for out, (agg, _) in spark_states.items()])
-    merged = local.join(F.broadcast(carried), ["__e", "__shard"], "left")
+    merged = carried_in(local, shards, carried, "__e")
     return merged.select(*[F.col("__ev")[c].alias(c) for c in kept], *[_merge(agg, F.col(f"__c_{out}"), F.col(f"__l_{out}")).alias(out) for out, (agg, _) in spark_states.items()])
 
 

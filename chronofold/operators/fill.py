@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronofold.operators.skew import MAX_HOT, MIN_ROWS, time_shards, with_shards
+from chronofold.operators.skew import MAX_HOT, MIN_ROWS, carried_in, time_shards, with_shards
 
 DAY_US = 86_400_000_000
 
@@ -51,7 +51,7 @@ def fill_along_time(
     before = Window.partitionBy("__e").orderBy("__shard").rowsBetween(Window.unboundedPreceding, -1)
     after = Window.partitionBy("__e").orderBy(F.col("__shard").desc()).rowsBetween(Window.unboundedPreceding, -1)
     carry = ends.select("__e", "__shard", *[F.max(f"__x{i}").over(before).alias(f"__ca{i}") for i in names.values()], *[F.min(f"__y{i}").over(after).alias(f"__cb{i}") for i in names.values()])
-    joined = local.join(F.broadcast(carry), ["__e", "__shard"], "left").withColumn("__month", F.date_format("__t", "yyyy-MM"))
+    joined = carried_in(local, shards, carry, "__e").withColumn("__month", F.date_format("__t", "yyyy-MM"))
     if numerics:
         joined = joined.join(F.broadcast(month_means(base, [names[c] for c in numerics])), "__month", "left")
         overall = base.agg(*[F.avg(f"__v{names[c]}").alias(f"__o{names[c]}") for c in numerics])

@@ -69,17 +69,16 @@ def visit_sequence(visits: DataFrame, entity: str, time: str, tie: str, lengths:
     ``n_prev``; ``days_since_last`` and ``avg_gap_days`` (the mean of the gaps between the visits before this one); for each length ``c``
     named ``name``: ``avg_prev_<name>``, ``max_prev_<name>`` (nulls skipped) and ``last_<name>`` (not skipped). Null without what they need.
     """
-    states = {"n_prev": ("count", None), "__prev": ("max", time)}
+    states = {"n_prev": ("count", None), "__first": ("min", time), "__prev": ("max", time)}
     for name, c in lengths.items():
         states |= {f"__s_{name}": ("sum", c), f"__c_{name}": ("count", c), f"max_prev_{name}": ("max", c), f"last_{name}": ("last", c)}
     one = asof_state(visits, [Fact(visits, time, states, tie=tie, order=(tie,))], entity, time, tie, **sharding)
-    one = one.withColumn("days_since_last", F.timestamp_diff("MICROSECOND", "__prev", time) / 8.64e10).drop("__prev")
+    one = one.withColumn("days_since_last", F.timestamp_diff("MICROSECOND", "__prev", time) / 8.64e10)
     for name in lengths:
         one = one.withColumn(f"avg_prev_{name}", F.try_divide(F.col(f"__s_{name}"), F.col(f"__c_{name}"))).drop(f"__s_{name}", f"__c_{name}")
     # The mean of earlier gaps telescopes: from the first visit to the one before this, over the number of gaps between them.
-    two = asof_state(one, [Fact(visits, time, {"__first": ("min", time), "__last": ("max", time)}, tie=tie)], entity, time, tie, **sharding)
-    gap = F.timestamp_diff("MICROSECOND", "__first", "__last") / 8.64e10
-    return two.withColumn("avg_gap_days", F.when(F.col("n_prev") >= 2, gap / (F.col("n_prev") - 1))).drop("__first", "__last")
+    gap = F.timestamp_diff("MICROSECOND", "__first", "__prev") / 8.64e10
+    return one.withColumn("avg_gap_days", F.when(F.col("n_prev") >= 2, gap / (F.col("n_prev") - 1))).drop("__first", "__prev")
 
 
 def prior_median(df: DataFrame, entity: str, order: Sequence[str], columns: dict[str, str]) -> DataFrame:

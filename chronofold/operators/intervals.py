@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronofold.operators.skew import MAX_HOT, MIN_ROWS, time_shards, with_shards
+from chronofold.operators.skew import MAX_HOT, MIN_ROWS, carried_in, time_shards, with_shards
 
 
 def sweep_periods(intervals: DataFrame, entity: str, start: str, end: str, member: str, *, min_rows: int = MIN_ROWS, max_hot: int = MAX_HOT) -> DataFrame:
@@ -21,14 +21,15 @@ def sweep_periods(intervals: DataFrame, entity: str, start: str, end: str, membe
     clean = intervals.where(F.col(entity).isNotNull() & (F.col(end) > F.col(start))).select(F.col(entity).alias("__e"), F.col(start).alias("__a"), F.col(end).alias("__b"), F.col(member).alias("__m"))
     sides = F.array(F.struct(F.col("__a").alias("t"), F.lit(1).cast("long").alias("d"), F.col("__m").alias("m")), F.struct(F.col("__b").alias("t"), F.lit(-1).cast("long").alias("d"), F.lit(None).cast(dict(clean.dtypes)["__m"]).alias("m")))
     bounds = clean.select("__e", F.explode(sides).alias("x")).groupBy("__e", F.col("x.t").alias("__t")).agg(F.sum("x.d").alias("__d"), F.min("x.m").alias("__m1"), F.max("x.m").alias("__m2"))
-    cut = with_shards(bounds, time_shards(bounds, "__e", "__t", min_rows=min_rows, max_hot=max_hot), "__e", "__t")
+    shards = time_shards(bounds, "__e", "__t", min_rows=min_rows, max_hot=max_hot)
+    cut = with_shards(bounds, shards, "__e", "__t")
     by = Window.partitionBy("__e", "__shard").orderBy("__t").rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy("__e").orderBy("__shard").rowsBetween(Window.unboundedPreceding, -1)
     open_in = cut.where(F.col("__hot")).groupBy("__e", "__shard").agg(F.sum("__d").alias("__d")).select("__e", "__shard", F.sum("__d").over(before).alias("__open"))
-    active = cut.join(F.broadcast(open_in), ["__e", "__shard"], "left").withColumn("__after", F.sum("__d").over(by) + F.coalesce("__open", F.lit(0)))
+    active = carried_in(cut, shards, open_in, "__e").withColumn("__after", F.sum("__d").over(by) + F.coalesce("__open", F.lit(0)))
     marked = active.withColumn("__begins", ((F.col("__after") - F.col("__d") == 0) & F.col("__m1").isNotNull()).cast("long"))
     begun_in = marked.where(F.col("__hot")).groupBy("__e", "__shard").agg(F.sum("__begins").alias("__g")).select("__e", "__shard", F.sum("__g").over(before).alias("__begun"))
-    numbered = marked.join(F.broadcast(begun_in), ["__e", "__shard"], "left").withColumn("__no", F.sum("__begins").over(by) + F.coalesce("__begun", F.lit(0)))
+    numbered = carried_in(marked, shards, begun_in, "__e").withColumn("__no", F.sum("__begins").over(by) + F.coalesce("__begun", F.lit(0)))
     return numbered.groupBy("__e", "__no").agg(F.min("__t").alias("period_start"), F.max("__t").alias("period_end"), F.min("__m1").alias("first_member"), F.max("__m2").alias("last_member")).select(F.col("__e").alias(entity), F.col("__no").alias("period_no"), "period_start", "period_end", "first_member", "last_member")
 
 

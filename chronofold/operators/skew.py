@@ -1,30 +1,27 @@
 """Primitives that keep hot keys from landing in one task.
 
-A *hot* key holds more than ``1 / max_hot`` of all rows (and more than ``min_rows``), so there are
-fewer than ``max_hot`` of them whatever the input: that is the size bound behind every broadcast here.
+The *hot* keys are the at most ``max_hot`` most frequent ones that have more than ``min_rows`` rows; any
+other key has at most ``1 / max_hot`` of all rows, or few. They are found by one aggregate, partial before the shuffle,
+and come to the driver: that bound is behind every broadcast here. Without a hot key the plain plan is built.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 MIN_ROWS = 500_000
 MAX_HOT = 256
 SALTS = 64
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], *, min_rows: int = MIN_ROWS, max_hot: int = MAX_HOT, extra: Sequence[Column] = ()) -> DataFrame:
-    """(keys, __n, __target, extra aggregates) of the hot keys: fewer than ``max_hot`` rows.
-
-    ``__target`` is the number of rows a task should get. Null keys count as a key of their own.
-    An empty table has no hot key.
-    """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *extra)
-    total = counts.agg(F.coalesce(F.sum("__n"), F.lit(0)).alias("t")).select(F.greatest(F.ceil(F.col("t") / max_hot), F.lit(min_rows))).scalar()
-    return counts.withColumn("__target", total).where(F.col("__n") > F.col("__target"))
+def hot_keys(df: DataFrame, keys: Sequence[str], *, min_rows: int = MIN_ROWS, max_hot: int = MAX_HOT, extra: Sequence[Column] = ()) -> list[Row]:
+    """(keys, __n, extra aggregates) of the hot keys, the most frequent first: at most ``max_hot`` rows. Null keys count as keys."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *extra).where(F.col("__n") > min_rows)
+    return counts.orderBy(F.col("__n").desc(), *keys).limit(max_hot).collect()
 
 
 def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", *, min_rows: int = MIN_ROWS, max_hot: int = MAX_HOT, salts: int = SALTS, salt_by: Sequence[str] = (), left_rows: int | None = None) -> DataFrame:
@@ -34,16 +31,28 @@ def salted_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     left_semi or left_anti. Null keys never match. Columns other than the keys must have different names.
     ``left_rows``, if known, saves the search for hot keys where there are too few rows for one.
     """
-    if left_rows is not None and left_rows <= min_rows:
+    hot = [] if left_rows is not None and left_rows <= min_rows else hot_keys(left.select(*keys), keys, min_rows=min_rows, max_hot=max_hot)
+    if not hot:
         return left.join(right, list(keys), how)
-    hot = F.broadcast(hot_keys(left.select(*keys), keys, min_rows=min_rows, max_hot=max_hot).select(*keys, F.lit(True).alias("__hot")))
+    fields = [f for k in keys for f in left.schema.fields if f.name == k]
+    table = left.sparkSession.createDataFrame([(*[r[k] for k in keys], True) for r in hot], StructType([*fields, StructField("__hot", BooleanType())]))
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in (salt_by or left.columns)]), F.lit(salts)).cast("int")
-    a = left.join(hot, list(keys), "left").withColumn("__salt", F.when(F.col("__hot"), salt).otherwise(F.lit(0))).drop("__hot")
+    a = _flagged(left, table, keys).withColumn("__salt", F.when(F.col("__hot"), salt).otherwise(F.lit(0))).drop("__hot")
     many = F.sequence(F.lit(0), F.lit(salts - 1))
-    b = right.join(hot, list(keys), "left").withColumn("__salt", F.explode(F.when(F.col("__hot"), many).otherwise(F.array(F.lit(0))))).drop("__hot")
+    b = _flagged(right, table, keys).withColumn("__salt", F.explode(F.when(F.col("__hot"), many).otherwise(F.array(F.lit(0))))).drop("__hot")
     return a.join(b, [*keys, "__salt"], how).drop("__salt")
 
 
+def _flagged(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with ``__hot``; null keys too are told apart, as they may be the hot ones of a left join."""
+    named = hot.select(*[F.col(k).alias(f"__h{i}") for i, k in enumerate(keys)], "__hot")
+    on = None
+    for i, k in enumerate(keys):
+        term = df[k].eqNullSafe(F.col(f"__h{i}"))
+        on = term if on is None else on & term
+    return df.join(F.broadcast(named), on, "left").drop(*[f"__h{i}" for i in range(len(keys))])
+
+
 def distributed_rank(df: DataFrame, group: Sequence[str], order_text: Column, ties: Sequence[str], out: str, *, total: str | None = None, prefix: int = 2) -> DataFrame:
     """1-based row number in each group by (order_text, ties), without a group ever being one task's.
 
@@ -70,33 +79,51 @@ def distributed_rank(df: DataFrame, group: Sequence[str], order_text: Column, ti
     return ranked.drop("__text", "__slice", "__local", "__before", "__total", *named.values())
 
 
-def time_shards(timeline: DataFrame, entity: str, time: str, *, min_rows: int = MIN_ROWS, max_hot: int = MAX_HOT, cells: int = 1024) -> DataFrame:
-    """Where to cut hot entities in time: (entity, __lo, __span, __shards), fewer than ``max_hot`` rows.
+def time_shards(timeline: DataFrame, entity: str, time: str, *, min_rows: int = MIN_ROWS, max_hot: int = MAX_HOT, cells: int = 1024) -> DataFrame | None:
+    """Where to cut hot entities in time: (entity, __lo, __span, __shards), at most ``max_hot`` rows; None if no entity is hot.
 
-    The time between a hot entity's first and last row is laid over ``cells`` equal cells; the rows
-    are counted by cell and consecutive cells are joined to shards of about ``__target`` rows.
-    ``__shards`` holds the shard of each cell. A cell is never cut, hence nor is an instant.
+    The time between a hot entity's first and last row is laid over ``cells`` equal cells; the rows are counted by cell (at most ``cells`` counts an
+    entity) and consecutive cells are joined to shards of about equal size. ``__shards`` holds the shard of each cell. A cell is never cut, hence nor is an instant.
     """
-    spans = [F.min(time).alias("__lo"), F.max(time).alias("__hi")]
-    hot = hot_keys(timeline.where(F.col(entity).isNotNull() & F.col(time).isNotNull()).select(entity, time), [entity], min_rows=min_rows, max_hot=max_hot, extra=spans)
-    hot = hot.withColumn("__span", F.timestamp_diff("MICROSECOND", "__lo", "__hi") + 1)
+    slim = timeline.select(entity, time).where(F.col(entity).isNotNull() & F.col(time).isNotNull())
+    hot = hot_keys(slim, [entity], min_rows=min_rows, max_hot=max_hot, extra=[F.min(time).alias("__lo"), F.timestamp_diff("MICROSECOND", F.min(time), F.max(time)).alias("__span")])
+    if not hot:
+        return None
+    kinds = dict(timeline.dtypes)
+    spans = timeline.sparkSession.createDataFrame([(r[entity], r["__lo"], r["__span"] + 1) for r in hot], f"{entity} {kinds[entity]}, __lo {kinds[time]}, __span long")
     cell = _cell(F.col("__lo"), F.col("__span"), F.col(time), cells)
-    counts = timeline.select(entity, time).join(F.broadcast(hot.select(entity, "__lo", "__span")), entity).where(F.col(time).isNotNull()).groupBy(entity, cell.alias("__cell")).agg(F.count(F.lit(1)).alias("__c"))
-    grid = hot.select(entity, "__lo", "__span", "__target", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cells - 1).cast("long"))).alias("__cell"))
-    before = F.coalesce(F.sum("__c").over(Window.partitionBy(entity).orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    shard = F.floor(before / F.col("__target")).cast("int")
-    laid = grid.join(counts, [entity, "__cell"], "left").select(entity, "__lo", "__span", "__cell", shard.alias("__s"))
-    return laid.groupBy(entity).agg(F.first("__lo").alias("__lo"), F.first("__span").alias("__span"), F.transform(F.array_sort(F.collect_list(F.struct("__cell", "__s"))), lambda x: x["__s"]).alias("__shards"))
+    counts = slim.join(F.broadcast(spans), entity).groupBy(entity, cell.alias("__cell")).agg(F.count(F.lit(1)).alias("__c")).collect()
+    target = max(min_rows, sum(r["__n"] for r in hot) // cells)
+    by_entity: dict = {r[entity]: [0] * cells for r in hot}
+    for r in counts:
+        by_entity[r[entity]][r["__cell"]] += r["__c"]
+    rows = []
+    for r in hot:
+        before, shards = 0, []
+        for n in by_entity[r[entity]]:
+            shards.append(before // target)
+            before += n
+        rows.append((r[entity], r["__lo"], r["__span"] + 1, shards))
+    return timeline.sparkSession.createDataFrame(rows, f"{entity} {kinds[entity]}, __lo {kinds[time]}, __span long, __shards array<int>")
 
 
 def _cell(lo: Column, span: Column, time: Column, cells: int | Column) -> Column:
     return F.floor(F.timestamp_diff("MICROSECOND", lo, time) / span * cells).cast("long")
 
 
-def with_shards(timeline: DataFrame, shards: DataFrame, entity: str, time: str) -> DataFrame:
+def with_shards(timeline: DataFrame, shards: DataFrame | None, entity: str, time: str) -> DataFrame:
     """Add ``__shard`` (0 but for hot entities) and ``__hot``. Rows without an entity are spread by hash; rows without a time are of shard 0."""
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in timeline.columns]), F.lit(MAX_HOT)).cast("int")
+    if shards is None:
+        return timeline.withColumns({"__shard": F.when(F.col(entity).isNull(), spread).otherwise(F.lit(0)), "__hot": F.lit(False)})
     at = _cell(F.col("__lo"), F.col("__span"), F.col(time), F.size("__shards"))
     joined = timeline.join(F.broadcast(shards), entity, "left")
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in timeline.columns]), F.lit(MAX_HOT)).cast("int")
     shard = F.when(F.col(entity).isNull(), spread).when(F.col("__shards").isNull() | F.col(time).isNull(), F.lit(0)).otherwise(F.element_at("__shards", at.cast("int") + 1))
     return joined.withColumn("__shard", shard).withColumn("__hot", F.col("__shards").isNotNull()).drop("__lo", "__span", "__shards")
+
+
+def carried_in(local: DataFrame, shards: DataFrame | None, carry: DataFrame, entity: str) -> DataFrame:
+    """``local`` with the columns of ``carry`` (by entity and shard; a row a shard), null where no entity is hot."""
+    if shards is None:
+        return local.withColumns({f.name: F.lit(None).cast(f.dataType) for f in carry.schema.fields if f.name not in (entity, "__shard")})
+    return local.join(F.broadcast(carry), [entity, "__shard"], "left")
