@@ -57,10 +57,16 @@ def asof_state(events: DataFrame, facts: Sequence[Fact], entity: str, event_time
             values.append((F.struct(F.col(f.time).alias("t"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(f.order)], value.alias("v")) if agg == "last" else value).alias(f"__s_{out}"))
         rank = -1 if f.inclusive else 0 if f.tie else 1
         parts.append(f.df.where(F.col(entity).isNotNull() & F.col(f.time).isNotNull()).select(F.col(entity).alias("__e"), F.col(f.time).alias("__t"), F.lit(rank).alias("__rank"), (F.col(f.tie).cast(tie_type) if f.tie else no_tie).alias("__tie"), F.lit(1).alias("__kind"), *values))
+    # One layout for all parts before they are put together: aligning them one by one would wrap the plan once more for every part.
+    layout = {f.name: f.dataType for part in parts for f in part.schema.fields}
+    parts = [part.select(*[F.col(c) if c in part.columns else F.lit(None).cast(kind).alias(c) for c, kind in layout.items()]) for part in parts]
     timeline = parts[0]
     for part in parts[1:]:
-        timeline = timeline.unionByName(part, allowMissingColumns=True)
-    shards = time_shards(timeline, "__e", "__t", min_rows=min_rows, max_hot=max_hot)
+        timeline = timeline.union(part)
+    points = events.select(F.col(entity).alias("__e"), F.col(event_time).alias("__t"))
+    for f in facts:
+        points = points.union(f.df.select(F.col(entity).alias("__e"), F.col(f.time).alias("__t")))
+    shards = time_shards(points, "__e", "__t", min_rows=min_rows, max_hot=max_hot)
     cut = with_shards(timeline, shards, "__e", "__t")
     order = ["__t", "__rank", "__tie", "__kind"]
     earlier = Window.partitionBy("__e", "__shard").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)

@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from chronofold.session import get_spark
 
-    s = get_spark("tests", "local[4]", **{"spark.sql.shuffle.partitions": 4, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g"})
+    s = get_spark("tests", "local[4]", **{"spark.sql.shuffle.partitions": 4, "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "6g"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
 
