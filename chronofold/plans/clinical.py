@@ -104,7 +104,12 @@ def build_master(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFr
     out = materialize(history.prior_features(seq, facts, "subject_id", "admittime"))
     omr = get("omr").where(F.col("chartdate").isNotNull()).select("subject_id", "chartdate", x.normalize_text("result_name").alias("what"), x.strip("result_value").alias("value"))
     of = lambda word, out_name: History(omr.where(x.contains_flag("what", word) == 1), "chartdate", {out_name: ("last", "value")}, order=("value",))
-    out = history.prior_features(out.withColumn("__day", x.midnight("admittime")), [of("bmi", "__bmi"), of("weight", "__weight"), of("blood pressure", "__bp")], "subject_id", "__day")
+    if "omr" in tables:
+        measured = [of("bmi", "__bmi"), of("weight", "__weight"), of("blood pressure", "__bp")]
+        # Written before the last projection: its many expressions over a merged timeline take the optimizer very long.
+        out = materialize(history.prior_features(out.withColumn("__day", x.midnight("admittime")), measured, "subject_id", "__day"))
+    else:
+        out = out.withColumns({c: F.lit(None).cast("string") for c in ("__bmi", "__weight", "__bp")})
     systolic, diastolic = x.parse_pair("__bp")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
     final = {
