@@ -1,9 +1,9 @@
-"""Evaluation passages inside training text: rare n-gram seeds, then Smith-Waterman alignment."""
+"""Evaluation passages inside training text: shared runs and rare words as seeds, then Smith-Waterman alignment."""
 
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,43 +31,104 @@ def gram_hashes(ids: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def _join(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([np.empty(0, np.int64), *parts])
+
+
+def _inverted(lists: list[np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of the lists in the order of their values, and where each of ``keys`` begins in it."""
+    values = np.concatenate([keys[:0], *lists])
+    owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    order = np.argsort(values, kind="stable")
+    return owner[order], np.searchsorted(values[order], keys)
+
+
+def _ranges(starts: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """All positions of the ranges ``which`` of those that begin at ``starts``, in order."""
+    lens = starts[which + 1] - starts[which]
+    return np.arange(lens.sum()) + np.repeat(starts[which] - (np.cumsum(lens) - lens), lens)
+
+
 class Items:
-    """A block of evaluation items: their words as numbers, and where each n-gram stands."""
+    """A block of evaluation items: their words as numbers, and what finds them in a document."""
 
     def __init__(self, rows: list[tuple], n: int) -> None:
         self.n, self.vocab, self.ids, self.words = n, {}, [], []
         for item_id, text in rows:
             self.ids.append(item_id)
             self.words.append(np.array([self.vocab.setdefault(w, len(self.vocab)) for w in words(text)], np.int64))
-        self.grams = [gram_hashes(w, n) for w in self.words]
-        self.known = np.unique(np.concatenate(self.grams)) if self.grams else np.empty(0, np.uint64)
 
     def numbers(self, text: str) -> np.ndarray:
         get = self.vocab.get
         return np.array([get(w, -1) for w in words(text)], np.int64)
 
-    def hits(self, ids: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions of a document's n-grams that are in ``known``, and the n-grams."""
-        grams = gram_hashes(ids, self.n)
-        if not len(grams) or not len(known):
-            return np.empty(0, np.int64), grams[:0]
-        gap = np.concatenate([[0], np.cumsum(ids < 0)])
-        whole = gap[self.n :] == gap[: len(grams)]
-        at = np.searchsorted(known, grams)
-        found = whole & (known[np.minimum(at, len(known) - 1)] == grams)
-        pos = np.flatnonzero(found)
-        return pos, grams[pos]
-
-    def seeds(self, counts: dict[int, int], run: int) -> dict[int, list[tuple[int, int]]]:
-        """The seeds: of each ``run`` consecutive words of an item the rarest n-gram that the corpus has. So every run of that length holds a seed, however common its words are, and so does what is left of it in an edited copy."""
-        chosen: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        for k, grams in enumerate(self.grams):
-            rank = [(counts.get(int(g), math.inf), int(g)) for g in grams]
-            width = max(1, min(run, len(self.words[k])) - self.n + 1)
-            keep = {min(range(i, i + width), key=lambda j: (rank[j], j)) for i in range(len(grams) - width + 1)}
-            for i in sorted(i for i in keep if rank[i][0] < math.inf):
-                chosen[int(grams[i])].append((k, i))
-        return chosen
+    def sharing_runs(self, ids: np.ndarray) -> set[int]:
+        """The items that share ``run`` consecutive words with the document, but for equal hashes."""
+        grams = gram_hashes(ids, self.run)
+        lo, hi = np.searchsorted(self.runs, grams), np.searchsorted(self.runs, grams, "right")
+        return {k for i in np.flatnonzero(lo < hi).tolist() for k in self.run_items[lo[i] : hi[i]].tolist()}
+
+    def n_seeds(self, ids: np.ndarray, k: int) -> int:
+        """How many of the document's n-grams the item has."""
+        return int(np.isin(gram_hashes(ids, self.n), gram_hashes(self.words[k], self.n)).sum())
+
+    def index(self, run: int, min_share: float) -> None:
+        """What finds the pairs to align: the items of each ``run`` of words, and of each word that is a seed.
+
+        An alignment gains only by matched words, so ``min_share`` of an item of n words takes ``need`` = min_share * n of them.
+        Any need of n words include one of the n - need + 1 rarest, whichever order is called rare; those are the item's seeds.
+        """
+        self.run, self.need = run, [max(1, math.ceil(min_share * len(w) - 1e-9)) for w in self.words]
+        self.bags = [np.unique(w, return_counts=True) for w in self.words]
+        self.bag_words, self.bag_counts = (_join([b[i] for b in self.bags]) for i in (0, 1))
+        self.bag_starts, self.needs = np.cumsum([0, *(len(b) for b, _ in self.bags)]), np.array(self.need, np.int64)
+        many, self.held = np.bincount(self.bag_words, minlength=len(self.vocab)), np.zeros(len(self.vocab), np.int64)
+        seeds = [np.unique(w[np.lexsort((w, many[w]))][: max(0, len(w) - need + 1)]) for w, need in zip(self.words, self.need, strict=True)]
+        self.seed_items, self.seed_starts = _inverted(seeds, np.arange(len(self.vocab) + 1))
+        grams = [np.unique(gram_hashes(w, run)) for w in self.words]
+        self.runs = np.sort(np.concatenate([np.empty(0, np.uint64), *grams]))
+        self.run_items, _ = _inverted(grams, self.runs[:0])
+
+    def sharing_words(self, ids: np.ndarray) -> list[int]:
+        """The items of whose words the document has ``need``, in any order and place."""
+        own, many = np.unique(ids[ids >= 0], return_counts=True)
+        items = np.unique(self.seed_items[_ranges(self.seed_starts, own)])
+        if not len(items):
+            return []
+        at, lens = _ranges(self.bag_starts, items), self.bag_starts[items + 1] - self.bag_starts[items]
+        self.held[own] = many
+        common = np.add.reduceat(np.minimum(self.held[self.bag_words[at]], self.bag_counts[at]), np.cumsum(lens) - lens)
+        self.held[own] = 0
+        return items[common >= self.needs[items]].tolist()
+
+    def stretches(self, ids: np.ndarray, k: int, need: int) -> list[tuple[int, int]]:
+        """The stretches of a document outside of which no alignment with item ``k`` scores as much as ``need`` words.
+
+        Such an alignment of m words leaves at most 2 * (m - need) words of the document unmatched, so it spans at most 3 n - 2 need
+        words and has ``need`` of the item's words there, none of them more often than the item.
+        """
+        bag, counts = self.bags[k]
+        width = 3 * len(self.words[k]) - 2 * need
+        at = np.minimum(np.searchsorted(bag, ids), len(bag) - 1)
+        pos = np.flatnonzero(bag[at] == ids)
+        if len(pos) < need:
+            return []
+        word = at[pos]
+        order = np.lexsort((pos, word))
+        by, where = word[order], pos[order]
+        back = np.arange(len(by)) - counts[by]
+        same = (back >= 0) & (by[np.maximum(back, 0)] == by)
+        # A word counts for the windows that begin after the occurrence that would make it one too many.
+        after = np.maximum(np.where(same, where[np.maximum(back, 0)], -width), where - width) + width + 1
+        change = np.zeros(len(ids) + width + 1, np.int64)
+        np.add.at(change, after, 1)
+        np.add.at(change, where + width + 1, -1)
+        begins = np.flatnonzero(np.cumsum(change) >= need) - width
+        if not len(begins):
+            return []
+        cut = np.flatnonzero(np.diff(begins) > width)
+        lo, hi = begins[np.concatenate([[0], cut + 1])], begins[np.concatenate([cut, [len(begins) - 1]])] + width
+        return list(zip(np.maximum(lo, 0).tolist(), hi.tolist(), strict=True))
 
 
 def align(a: np.ndarray, b: np.ndarray, *, match: int = 2, mismatch: int = -1, gap: int = -1) -> tuple[int, int, int]:
@@ -91,11 +152,11 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", tex
     """(doc_id, item_id, n_seeds, longest_run, score, share) of the documents that hold a part of an item.
 
     A pair comes out if document and item share ``run`` consecutive words, or if their alignment
-    score reaches ``min_share`` of the item's own. Candidates share a seed of ``seed`` words; the seeds are
-    chosen so that no shared run is missed, whatever the corpus. Items are taken in blocks of
-    ``block_chars`` characters, each against all documents in two passes: counting its n-grams, then
-    seeding and aligning; no document is shuffled. Null or wordless texts share nothing. Repeated
-    documents come out each with its own id; rows that repeat id and text come out once each.
+    score reaches ``min_share`` of the item's own. Both are whole, whatever else the corpus holds: the pairs
+    to align share a run, or as many words as such a score takes. ``n_seeds`` counts the document's runs of
+    ``seed`` words that the item has; it is 0 for a copy edited more densely. Items are taken in blocks of
+    ``block_chars`` characters, each against all documents in one pass; no document is shuffled. Null or wordless
+    texts share nothing. Repeated documents come out each with its own id; rows that repeat id and text come out once each.
     """
     spark = docs.sparkSession
     size = items.agg(F.coalesce(F.sum(F.length(item_text)), F.lit(0))).first()[0]
@@ -108,56 +169,28 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, doc_id: str = "doc_id", tex
     for k in range(blocks):
         mine = asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k)
         block = Items([tuple(r) for r in mine.collect()], seed)
-        counts = {r["gram"] & (2**64 - 1): r["n"] for r in slim.mapInPandas(_counter(block), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()}
-        part = slim.mapInPandas(_aligner(block, block.seeds(counts, run), run, min_share), schema)
+        block.index(run, min_share)
+        part = slim.mapInPandas(_aligner(block, min_share), schema)
         out = part if k == 0 else out.unionByName(part)
     return out
 
 
-def _counter(block: Items):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n: Counter[int] = Counter()
-        for b in batches:
-            for t in b["t"]:
-                n.update(np.unique(block.hits(block.numbers(t), block.known)[1]).view(np.int64).tolist())
-        yield pd.DataFrame({"gram": pd.Series(list(n), dtype="int64"), "n": pd.Series(list(n.values()), dtype="int64")})
-
-    return run
-
-
-def _aligner(block: Items, seeds: dict[int, list[tuple[int, int]]], run_words: int, min_share: float):
-    known = np.array(sorted(seeds), np.uint64)
-
+def _aligner(block: Items, min_share: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for d, t in zip(b["d"], b["t"], strict=True):
                 ids = block.numbers(t)
-                pos, grams = block.hits(ids, known)
-                at: dict[int, list[int]] = defaultdict(list)
-                for p, g in zip(pos.tolist(), grams.tolist(), strict=True):
-                    for k, _ in seeds[g]:
-                        at[k].append(p)
-                for k, ps in at.items():
-                    item = block.words[k]
+                same_run = block.sharing_runs(ids)
+                for k in sorted(same_run.union(block.sharing_words(ids))):
+                    item, need = block.words[k], block.need[k]
                     score = longest = 0
-                    for lo, hi in spans(ps, len(item)):
-                        s, r, _ = align(ids[max(0, lo - len(item)) : hi + 2 * len(item)], item)
+                    for lo, hi in block.stretches(ids, k, min(need, block.run) if k in same_run else need):
+                        s, r, _ = align(ids[lo:hi], item)
                         score, longest = max(score, s), max(longest, r)
                     share = score / (2 * len(item))
-                    if longest >= run_words or share >= min_share:
-                        rows.append((d, block.ids[k], len(ps), longest, score, share))
+                    if longest >= block.run or share >= min_share:
+                        rows.append((d, block.ids[k], block.n_seeds(ids, k), longest, score, share))
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "n_seeds", "longest_run", "score", "share"])
 
     return run
-
-
-def spans(positions: list[int], near: int) -> list[tuple[int, int]]:
-    """Seed positions joined to stretches, cut where two seeds are farther apart than twice the item."""
-    out: list[tuple[int, int]] = []
-    for p in sorted(positions):
-        if out and p - out[-1][1] <= 2 * near:
-            out[-1] = (out[-1][0], p)
-        else:
-            out.append((p, p))
-    return out

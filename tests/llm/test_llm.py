@@ -214,3 +214,42 @@ def test_edited_copy_is_aligned(spark):
     got = leakage.find_leaks(d, spark.createDataFrame([(7, item)], "item_id int, text string")).collect()
     assert [r["doc_id"] for r in got] == [1] and got[0]["longest_run"] < 8
     assert len(got) == 1 and got[0]["share"] > 0.8
+
+
+@pytest.mark.parametrize("verbatim", [1, 5])
+def test_edited_copy_beside_verbatim_copies(spark, verbatim):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi"
+    copy = item.replace("zeta", "ZZZ").replace("kappa", "kappa extra")
+    texts = [f"some words before {copy} and after", "alpha beta gamma delta only", *[item] * verbatim]
+    got = leakage.find_leaks(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame([(7, item)], "item_id int, text string")).collect()
+    assert sorted(r["doc_id"] for r in got) == [0, *range(2, 2 + verbatim)]
+    assert min(r["share"] for r in got) > 0.8
+
+
+def test_leaks_are_those_of_aligning_all(spark):
+    """Edits of any density, also where no four words in a row survive, in long and short documents."""
+    r = random.Random(11)
+    vocab = [f"w{i}" for i in range(60)] + ["the"] * 15 + ["of"] * 8
+    say = lambda n: [r.choice(vocab) for _ in range(n)]
+    items = [(k, say(r.choice([1, 2, 5, 9, 16, 30]))) for k in range(20)]
+    docs = []
+    for i in range(150):
+        body = say(r.choice([0, 3, 30, 200]))
+        copy = list(items[r.randrange(20)][1])
+        step = r.choice([2, 3, 4, 6, 50])
+        for at in range(len(copy) - 1, 0, -step):
+            copy[at : at + r.randrange(2)] = say(r.randrange(3))
+        body[r.randrange(len(body) + 1) : 0] = copy
+        docs.append((i, body))
+    want = {}
+    for i, d in docs:
+        for k, q in items:
+            number = {w: x for x, w in enumerate(dict.fromkeys(q))}
+            score, longest, _ = leakage.align(leakage.np.array([number.get(w, -1) for w in d], int), leakage.np.array([number[w] for w in q], int))
+            if longest >= 8 or score >= len(q):
+                want[(i, k)] = score
+    d, q = (spark.createDataFrame([(i, " ".join(t)) for i, t in x], f"{name} long, text string") for x, name in ((docs, "doc_id"), (items, "item_id")))
+    for block in (8_000_000, 400):
+        got = leakage.find_leaks(d, q, block_chars=block).collect()
+        assert {(r["doc_id"], r["item_id"]): r["score"] for r in got} == want and len(got) == len(want)
+    assert any(r["n_seeds"] == 0 and r["share"] < 1 for r in got)
