@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -115,21 +116,74 @@ def closest_subset(available: dict[int, int], target: int) -> dict[int, int]:
     return taken
 
 
+def balanced_subset(available: dict[tuple[int, int], int], positives: int, least: int, most: int, scale: tuple[int, int]) -> dict[tuple[int, int], int]:
+    """How many of each class (rows, positives > 0) to take so that their positives come close to ``positives`` and their rows
+    between ``least`` and ``most``.
+
+    Both distances count by the split's own goals, ``scale`` (rows, positives), and their sum is the least that any choice has
+    outside of one side of the rows: for each sum of positives the choices of fewest and of most rows are exact. Among equals
+    the one that follows the classes' own ratio of rows to positives is taken, if found, so that no size is preferred.
+    """
+    if positives <= 0 or not available:
+        return {}
+    limit = 2 * positives + 1
+    bundles = []
+    for (n, p), many in sorted(available.items(), reverse=True):
+        many, step = min(many, (limit - 1) // p), 1
+        while many > 0:
+            bundles.append(((n, p), min(step, many)))
+            many, step = many - step, step * 2
+    sums = np.arange(limit)
+    ratio = sum(n * m for (n, _), m in available.items()) / sum(p * m for (_, p), m in available.items())
+    best = None
+    for line in (sums * ratio, np.zeros(limit), np.full(limit, 2.0**62)):
+        held, taken = np.where(sums == 0, 0, -1), []
+        for (n, p), k in bundles:
+            more = np.full(limit, -1)
+            more[p * k :] = np.where(held[: limit - p * k] >= 0, held[: limit - p * k] + n * k, -1)
+            closer = (more >= 0) & ((held < 0) | (np.abs(more - line) < np.abs(held - line)))
+            held = np.where(closer, more, held)
+            taken.append(np.packbits(closer))
+        cost = np.abs(sums - positives) / scale[1] + np.maximum(0, np.maximum(held - most, least - held)) / scale[0]
+        cost[held < 0] = np.inf
+        q = int(np.argmin(cost))
+        if best is None or cost[q] < best[0] - 1e-12:
+            best = cost[q], q, taken
+    _, q, taken = best
+    out: dict[tuple[int, int], int] = {}
+    for (c, k), bits in zip(reversed(bundles), reversed(taken), strict=True):
+        if bits[q >> 3] >> (7 - (q & 7)) & 1:
+            out[c] = out.get(c, 0) + k
+            q -= c[1] * k
+    return out
+
+
 def quotas(classes: dict[tuple[int, int], int], shares: Sequence[float], slack: int = 4) -> dict[tuple[int, int], list[int]]:
     """Per class (rows, positives) -> how many components each split but the last one (the first of ``shares``) gets.
 
-    ``classes`` holds how many components there are of each class. Components with positives are chosen so that a split's
-    positives come closest to its share, then those without so that its rows do. Most of a class is shared out in proportion;
-    only what is left, and ``slack`` more of each class, enters the subset sum, whose bits are as many as the rest is large.
+    ``classes`` holds how many components there are of each class. Components of more rows than the smallest split is to have (and
+    a 64th of all) are placed first, each where most rows are wanted. Then components with positives are chosen so that a split's
+    positives and rows come closest to its share, then those without so that its rows do. Most of a class is shared out in proportion;
+    only what is left, and ``slack`` more of each class, enters the subset sum, whose size is as much as the rest is large.
     """
     left, out = dict(classes), {c: [0] * len(shares) for c in classes}
     rows, positives = sum(n * m for (n, _), m in classes.items()), sum(p * m for (_, p), m in classes.items())
+    wanted, wanted_positives = [round(x * rows) for x in shares], [round(x * positives) for x in shares]
+    wanted[0], wanted_positives[0] = rows - sum(wanted[1:]), positives - sum(wanted_positives[1:])
+    for c in sorted((c for c in classes if c[0] > max(min(wanted), rows / 64)), reverse=True):
+        for _ in range(left[c]):
+            s = max(range(len(shares)), key=lambda k: (wanted[k], wanted_positives[k], -k))
+            out[c][s] += 1
+            wanted[s] -= c[0]
+            wanted_positives[s] -= c[1]
+        left[c] = 0
     for s in range(1, len(shares)):
-        got = 0
+        scale = max(1, round(shares[s] * rows)), max(1, round(shares[s] * positives))
+        room = wanted[s]
         for stratum in (True, False):
             mine = [c for c in classes if (c[1] > 0) == stratum and left[c]]
             weight = (lambda c: c[1]) if stratum else (lambda c: c[0])
-            goal = round(shares[s] * positives) if stratum else round(shares[s] * rows) - got
+            goal = wanted_positives[s] if stratum else room
             total = sum(weight(c) * left[c] for c in mine)
             share = max(0.0, min(1.0, goal / total)) if total else 0.0
             for c in mine:
@@ -137,19 +191,21 @@ def quotas(classes: dict[tuple[int, int], int], shares: Sequence[float], slack:
                 out[c][s] += base
                 left[c] -= base
                 goal -= base * weight(c)
-            pool: dict[int, int] = {}
-            for c in mine:
-                pool[weight(c)] = pool.get(weight(c), 0) + left[c]
-            chosen = closest_subset({w: min(m, max(0, goal) // w + 1) for w, m in pool.items() if m}, goal)
-            for c in sorted(mine):
-                take = min(left[c], chosen.get(weight(c), 0))
-                if take:
-                    chosen[weight(c)] -= take
-                    out[c][s] += take
-                    left[c] -= take
+                room -= base * c[0]
             if stratum:
-                got = sum(c[0] * out[c][s] for c in classes if c[1] > 0)
-    return {c: out[c] for c in out}
+                fill = sum(n * m for (n, p), m in left.items() if not p)
+                chosen = balanced_subset({c: left[c] for c in mine if left[c]}, goal, room - fill, room, scale)
+            else:
+                pool = {c[0]: left[c] for c in mine if left[c]}
+                sizes = closest_subset({w: min(m, max(0, goal) // w + 1) for w, m in pool.items()}, goal)
+                chosen = {(w, 0): k for w, k in sizes.items()}
+            for c, take in chosen.items():
+                out[c][s] += take
+                left[c] -= take
+                room -= take * c[0]
+    for c in classes:
+        out[c][0] = 0
+    return out
 
 
 def grouped_split(records: DataFrame, keys: Sequence[str], row_id: str, target: str, shares: dict[str, float], *, seed: str = "42", min_rows: int = MIN_ROWS) -> DataFrame:

@@ -77,6 +77,55 @@ def test_grouped_split(spark):
     assert grouped_split.grouped_split(df.limit(0), ["subject_id"], "hadm_id", "target", {"train": 1.0}).count() == 0
 
 
+def split_totals(classes, shares):
+    """(rows, positives) of each split of a plan, the first with what is left."""
+    plan = grouped_split.quotas(classes, shares)
+    assert all(sum(q[1:]) <= classes[c] and min(q) >= 0 for c, q in plan.items())
+    got = [[sum(c[i] * q[s] for c, q in plan.items()) for i in (0, 1)] for s in range(1, len(shares))]
+    whole = [sum(c[i] * m for c, m in classes.items()) for i in (0, 1)]
+    return [[whole[i] - sum(g[i] for g in got) for i in (0, 1)], *got]
+
+
+@pytest.mark.parametrize(
+    "classes",
+    [
+        {(10000, 3): 1, (2, 1): 60, (1, 0): 19880},
+        {(10000, 2): 1, (3, 1): 61, (1, 0): 19817},
+        {(4000, 4): 3, (3, 1): 40, (1, 0): 17880},
+        {(10000, 1): 1, (2, 2): 30, (1, 0): 19940},
+    ],
+)
+def test_large_components_keep_rows_and_positives_close(classes):
+    rows, positives = (sum(c[i] * m for c, m in classes.items()) for i in (0, 1))
+    for got_rows, got_positives in split_totals(classes, (0.7, 0.15, 0.15))[1:]:
+        assert abs(got_rows - 0.15 * rows) <= 1 and abs(got_positives - 0.15 * positives) <= 1.5
+
+
+def test_large_component_goes_where_it_fits():
+    for c in ((10000, 0), (10000, 5)):
+        for shares in ((0.1, 0.8, 0.1), (0.1, 0.1, 0.8), (0.8, 0.1, 0.1)):
+            got = split_totals({c: 1, (2, 1): 50, (1, 0): 9900}, shares)
+            assert all(abs(g[0] - x * 20000) <= 1 for g, x in zip(got, shares, strict=True))
+
+
+def test_balanced_subset_is_exact():
+    from itertools import product
+
+    r = random.Random(5)
+    for _ in range(60):
+        have = {(r.choice([1, 3, 40, 200]) + r.randrange(5), r.randrange(1, 6)): r.randrange(1, 4) for _ in range(4)}
+        goal, most = r.randrange(1, 14), r.randrange(0, 260)
+        least, scale = -100, (100, goal)
+
+        def cost(taken):
+            n, p = (sum(c[i] * k for c, k in taken.items()) for i in (0, 1))
+            return abs(p - goal) / scale[1] + max(0, n - most, least - n) / scale[0]  # noqa: B023
+
+        got = grouped_split.balanced_subset(have, goal, least, most, scale)
+        assert all(0 < k <= have[c] for c, k in got.items())
+        assert cost(got) == pytest.approx(min(cost(dict(zip(have, k, strict=True))) for k in product(*[range(m + 1) for m in have.values()])))
+
+
 def test_torn(spark):
     stays = spark.createDataFrame([(1, 10), (1, 11), (2, 20), (2, 21), (3, 30), (3, 30), (4, None)], "s int, h int")
     given = spark.createDataFrame([(10, "Train "), (11, "TEST"), (20, "train"), (21, None), (30, "test"), (30, "train"), (None, "x")], "h int, split string")
