@@ -15,10 +15,19 @@ query = Registry()
 QUERIES, SQL = query.queries, query.sql
 
 
-def _stream(s, df, files=3):
-    """The rows of ``df`` as ``files`` files, read one a trigger; a folder for the results."""
+def _stream(s, df, files=3, time=None):
+    """The rows of ``df`` as ``files`` files, read one a trigger; a folder for the results. With ``time`` each file is later than the one before, rows of one time are in one file."""
     root = f"{checkpoint_root(s)}/chronofold/{uuid.uuid4().hex}"
-    df.repartition(files).write.parquet(f"{root}/in")
+    if time is None:
+        df.repartition(files).write.parquet(f"{root}/in")
+    else:
+        at = F.unix_micros(F.col(time).cast("timestamp"))
+        cuts = df.select(F.percentile_approx(at, [k / files for k in range(1, files)])).first()[0] or []
+        part = F.lit(0)
+        for cut in cuts:
+            part = part + F.coalesce((at > cut).cast("int"), F.lit(0))
+        for k in range(files):  # one after the other: the stream takes files in the order of their age
+            df.where(part == k).repartition(1).write.mode("append").parquet(f"{root}/in")
     return incremental.read_files(s, f"{root}/in", df.schema), root
 
 
@@ -45,6 +54,6 @@ def stream_windows(s, d):
 @query("""SELECT e.user_id, e.ts, count(f.ts) AS n_before, round(coalesce(sum(f.value), 0.0), 4) AS total_before FROM events e LEFT JOIN (SELECT user_id, ts, value FROM events WHERE event_type <> 'purchase') f ON f.user_id = e.user_id AND f.ts < e.ts
 WHERE e.event_type = 'purchase' GROUP BY e.event_id, e.user_id, e.ts""")
 def stream_history(s, d):
-    stream, root = _stream(s, table(s, d, "events").select("user_id", "ts", "event_type", "value"), files=1)
+    stream, root = _stream(s, table(s, d, "events").select("user_id", "ts", "event_type", "value"), time="ts")
     out = incremental.run_to_table(incremental.stream_history(stream, "user_id", "ts", "event_type", "value", probe="purchase"), f"{root}/out", f"{root}/cp")
     return out.select("user_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "n_before", F.round("total_before", 4).alias("total_before"))

@@ -235,3 +235,21 @@ def test_clinical_model_ready_and_scores(spark, master):
         scoring.check_keys(ready.drop("admittime"), "ready")
     with pytest.raises(contract.SchemaError):
         clinical.model_ready(master.withColumn("gender", F.lit(None).cast("int")))
+
+
+def test_stream_history_keeps_state_over_batches(spark, sf):
+    import glob
+
+    import duckdb
+
+    from chronofold.plans import streams
+    from chronofold.session import checkpoint_root
+
+    root = checkpoint_root(spark).removeprefix("file://")
+    before = set(glob.glob(f"{root}/chronofold/*/cp/commits"))
+    got = rows(streams.stream_history(spark, sf))
+    (commits,) = set(glob.glob(f"{root}/chronofold/*/cp/commits")) - before
+    assert len(glob.glob(f"{commits}/[0-9]*")) >= 3
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{sf}/events.parquet'")
+    assert got == sorted(con.execute(streams.SQL["stream_history"]).fetchall(), key=repr) and len(got) > 0
