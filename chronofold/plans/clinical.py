@@ -1,4 +1,4 @@
-"""The clinical configuration: raw hospital tables to master table, model-ready table, splits and scores."""
+"""The clinical configuration: raw hospital tables to master table, model-ready table and splits. Scoring takes these (operators/scoring.py); no function here goes from raw tables to scores."""
 
 from __future__ import annotations
 
