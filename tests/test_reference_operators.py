@@ -253,3 +253,12 @@ def test_stream_history_keeps_state_over_batches(spark, sf):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW events AS SELECT * FROM '{sf}/events.parquet'")
     assert got == sorted(con.execute(streams.SQL["stream_history"]).fetchall(), key=repr) and len(got) > 0
+
+
+def test_ml_shap_explains_every_held_row(spark):
+    from chronofold.plans import evaluation
+
+    d = "/root/testdata/sf0.01"
+    held = evaluation._model_data(spark, d)[1].select("hadm_id")
+    got = evaluation.ml_shap(spark, d).select(F.col("id").alias("hadm_id"))
+    assert rows(got) == rows(held) and got.count() > 500
