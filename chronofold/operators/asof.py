@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronofold.operators.skew import MAX_HOT, MIN_ROWS, carried_in, time_shards, with_shards
+from chronofold.operators.skew import PARTS, SHARD_ROWS, carried_in, time_shards, with_shards
 
 
 @dataclass(frozen=True)
@@ -33,7 +33,7 @@ class Fact:
     order: tuple[str, ...] = ()
 
 
-def asof_state(events: DataFrame, facts: Sequence[Fact], entity: str, event_time: str, event_tie: str | None = None, *, min_rows: int = MIN_ROWS, max_hot: int = MAX_HOT) -> DataFrame:
+def asof_state(events: DataFrame, facts: Sequence[Fact], entity: str, event_time: str, event_tie: str | None = None, *, floor: int = SHARD_ROWS, parts: int = PARTS) -> DataFrame:
     """Every row of ``events`` with the state its entity's earlier facts leave at that moment.
 
     Count is 0 without a fact, the other aggregates are null. Events without an entity or a time
@@ -44,7 +44,7 @@ def asof_state(events: DataFrame, facts: Sequence[Fact], entity: str, event_time
     kept = [c for c in events.columns if c not in spark_states]
     tie_type = dict(events.dtypes)[event_tie] if event_tie else "int"
     no_tie = F.lit(None).cast(tie_type)
-    parts = [
+    pieces = [
         events.select(
             F.col(entity).alias("__e"), F.col(event_time).alias("__t"), F.lit(0).alias("__rank"), (F.col(event_tie) if event_tie else no_tie).alias("__tie"), F.lit(0).alias("__kind"),
             F.struct(*[F.col(c) for c in kept]).alias("__ev"),
@@ -56,17 +56,17 @@ def asof_state(events: DataFrame, facts: Sequence[Fact], entity: str, event_time
             value = F.lit(1).cast("long") if agg == "count" and col is None else F.when(F.col(col).isNotNull(), F.lit(1).cast("long")) if agg == "count" else F.col(col)
             values.append((F.struct(F.col(f.time).alias("t"), *[F.col(c).alias(f"o{i}") for i, c in enumerate(f.order)], value.alias("v")) if agg == "last" else value).alias(f"__s_{out}"))
         rank = -1 if f.inclusive else 0 if f.tie else 1
-        parts.append(f.df.where(F.col(entity).isNotNull() & F.col(f.time).isNotNull()).select(F.col(entity).alias("__e"), F.col(f.time).alias("__t"), F.lit(rank).alias("__rank"), (F.col(f.tie).cast(tie_type) if f.tie else no_tie).alias("__tie"), F.lit(1).alias("__kind"), *values))
+        pieces.append(f.df.where(F.col(entity).isNotNull() & F.col(f.time).isNotNull()).select(F.col(entity).alias("__e"), F.col(f.time).alias("__t"), F.lit(rank).alias("__rank"), (F.col(f.tie).cast(tie_type) if f.tie else no_tie).alias("__tie"), F.lit(1).alias("__kind"), *values))
     # One layout for all parts before they are put together: aligning them one by one would wrap the plan once more for every part.
-    layout = {f.name: f.dataType for part in parts for f in part.schema.fields}
-    parts = [part.select(*[F.col(c) if c in part.columns else F.lit(None).cast(kind).alias(c) for c, kind in layout.items()]) for part in parts]
-    timeline = parts[0]
-    for part in parts[1:]:
-        timeline = timeline.union(part)
+    layout = {f.name: f.dataType for piece in pieces for f in piece.schema.fields}
+    pieces = [piece.select(*[F.col(c) if c in piece.columns else F.lit(None).cast(kind).alias(c) for c, kind in layout.items()]) for piece in pieces]
+    timeline = pieces[0]
+    for piece in pieces[1:]:
+        timeline = timeline.union(piece)
     points = events.select(F.col(entity).alias("__e"), F.col(event_time).alias("__t"))
     for f in facts:
         points = points.union(f.df.select(F.col(entity).alias("__e"), F.col(f.time).alias("__t")))
-    shards = time_shards(points, "__e", "__t", min_rows=min_rows, max_hot=max_hot)
+    shards = time_shards(points, "__e", "__t", floor=floor, parts=parts)
     cut = with_shards(timeline, shards, "__e", "__t")
     order = ["__t", "__rank", "__tie", "__kind"]
     earlier = Window.partitionBy("__e", "__shard").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronofold.operators.skew import MAX_HOT, MIN_ROWS, carried_in, time_shards, with_shards
+from chronofold.operators.skew import PARTS, SHARD_ROWS, carried_in, time_shards, with_shards
 
 DAY_US = 86_400_000_000
 
@@ -19,7 +19,7 @@ def usable(col: Column, low: float, high: float) -> Column:
 
 
 def fill_along_time(
-    df: DataFrame, entity: str, time: str, tie: str, numerics: dict[str, tuple[float, float]], categories: dict[str, float] | None = None, *, placeholders: Sequence[str] = ("", "nan", "none", "<na>", "unknown"), min_rows: int = MIN_ROWS, max_hot: int = MAX_HOT,
+    df: DataFrame, entity: str, time: str, tie: str, numerics: dict[str, tuple[float, float]], categories: dict[str, float] | None = None, *, placeholders: Sequence[str] = ("", "nan", "none", "<na>", "unknown"), floor: int = SHARD_ROWS, parts: int = PARTS,
 ) -> DataFrame:
     """All rows and columns of ``df``; for each numeric and category ``c`` also ``c_filled``, ``c_method``, ``c_days``.
 
@@ -41,7 +41,7 @@ def fill_along_time(
     base = df.select(F.struct(*[F.col(c) for c in df.columns]).alias("__row"), F.col(entity).alias("__e"), F.col(time).alias("__t"), F.col(tie).alias("__k"))
     base = base.withColumns({f"__v{i}": value[c] for c, i in names.items()})
     points = {i: F.when(F.col(f"__v{i}").isNotNull() & F.col("__t").isNotNull() & F.col("__e").isNotNull(), F.struct("__t", "__k", F.col(f"__v{i}").alias("v"))) for i in names.values()}
-    shards = time_shards(base, "__e", "__t", min_rows=min_rows, max_hot=max_hot)
+    shards = time_shards(base, "__e", "__t", floor=floor, parts=parts)
     cut = with_shards(base, shards, "__e", "__t").withColumns({f"__p{i}": p for i, p in points.items()})
     ahead = Window.partitionBy("__e", "__shard").orderBy("__t", "__k").rowsBetween(Window.unboundedPreceding, -1)
     # The next reading is the last one of the reversed order: a frame that ends at the partition's end is rebuilt for every row.

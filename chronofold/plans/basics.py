@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronofold.functions import exprs as x
 from chronofold.operators import contract, profile, relational
 from chronofold.plans.registry import Registry
-from chronofold.session import checkpoint_root, table
+from chronofold.session import scratch_path, table
 from chronofold.sources import readers, writers
 
 query = Registry()
@@ -31,7 +29,7 @@ def scan_project_filter(s, d):
 
 @query(f"SELECT hadm_id, CASE WHEN marital_status NOT IN ({_NULLS}) THEN marital_status END AS marital_status, CASE WHEN race NOT IN ({_NULLS}) THEN race END AS race, hospital_expire_flag, admittime FROM admissions")
 def csv_null_tokens(s, d):
-    path = f"{checkpoint_root(s)}/chronofold/{uuid.uuid4().hex}.csv"
+    path = scratch_path(s, ".csv")
     writers.write_csv(table(s, d, "admissions").select("subject_id", "hadm_id", "marital_status", "race", "hospital_expire_flag", "admittime"), path)
     schema = T.StructType.fromDDL("hadm_id int, marital_status string, race string, hospital_expire_flag double, admittime timestamp_ntz")
     return readers.read_table(s, path, schema)
@@ -39,7 +37,7 @@ def csv_null_tokens(s, d):
 
 @query("SELECT subject_id, hadm_id, icd_code, mod(subject_id, 16)::INT AS bucket FROM diagnoses WHERE mod(subject_id, 16) = 3")
 def bucketed_scan(s, d):
-    path = f"{checkpoint_root(s)}/chronofold/{uuid.uuid4().hex}.parquet"
+    path = scratch_path(s, ".parquet")
     df = table(s, d, "diagnoses").select("subject_id", "hadm_id", "icd_code")
     writers.write_bucketed(df, path, "subject_id", 16)
     return readers.read_bucket(s, path, 3, df.schema)

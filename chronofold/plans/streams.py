@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from chronofold.plans.registry import Registry
-from chronofold.session import checkpoint_root, table
+from chronofold.session import scratch_path, table
 from chronofold.sources.readers import read_table
 from chronofold.streaming import incremental
 
@@ -17,7 +15,7 @@ QUERIES, SQL = query.queries, query.sql
 
 def _stream(s, df, files=3, time=None):
     """The rows of ``df`` as ``files`` files, read one a trigger; a folder for the results. With ``time`` each file is later than the one before, rows of one time are in one file."""
-    root = f"{checkpoint_root(s)}/chronofold/{uuid.uuid4().hex}"
+    root = scratch_path(s)
     if time is None:
         df.repartition(files).write.parquet(f"{root}/in")
     else:
