@@ -85,24 +85,31 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return asof.mismatches(known, {"num_prev_diagnoses": "known_num_prev_diagnoses"}, "hadm_id", tolerance=0.0).select("hadm_id")
 
 
-def _stay_features(spark: SparkSession, d: str) -> DataFrame:
+def _stay_counts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The figures of every stay and type, and the stays with the midnight after their last event, from which they look back."""
     events = entity_features.clinical_events(table(spark, d, "labevents"), table(spark, d, "drgcodes"), table(spark, d, "diagnoses"))
     store = entity_features.cumulative_store(events, "hadm_id", "type", "at", "value")
-    stays = entity_features.stays_of(table(spark, d, "admissions"))
-    last = store.groupBy("hadm_id").agg(F.max("last_time").alias("as_of"))
-    return entity_features.window_features(store, stays.select("hadm_id").join(last, "hadm_id", "left"), "hadm_id", "as_of", [7, 30])
+    last = store.groupBy("hadm_id").agg((F.date_trunc("day", F.max("last_time")).cast("timestamp_ntz") + F.expr("interval 1 day")).alias("as_of"))
+    stays = entity_features.stays_of(table(spark, d, "admissions")).select("hadm_id").join(last, "hadm_id", "left")
+    return entity_features.window_counts(store, stays, "hadm_id", "as_of", [7, 30]), stays
 
 
 def p5_stay_features(spark: SparkSession, d: str) -> DataFrame:
-    return _stay_features(spark, d)
+    counts, stays = _stay_counts(spark, d)
+    return entity_features.as_maps(counts, stays, "hadm_id")
 
 
-#: Types shown as columns; any other type of the map can be shown in the same way.
+def p5_stay_types(spark: SparkSession, d: str) -> DataFrame:
+    return _stay_counts(spark, d)[0]
+
+
+#: Types shown as columns; any other type can be shown in the same way.
 WIDE_TYPES = ["lab_abnormal_routine", "lab_abnormal_stat", "lab_normal_routine", "lab_normal_stat", "drg_severity_1", "drg_severity_4"]
 
 
 def p5_stay_totals(spark: SparkSession, d: str) -> DataFrame:
-    out = entity_features.wide(_stay_features(spark, d), WIDE_TYPES)
+    counts, stays = _stay_counts(spark, d)
+    out = entity_features.as_columns(counts, stays, "hadm_id", WIDE_TYPES)
     return out.select("hadm_id", *[F.round(c, 8).alias(c) if c.endswith(("__total", "days")) else F.col(c) for c in out.columns if "__" in c])
 
 
@@ -111,17 +118,18 @@ def _periods(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    periods = _periods(spark, d)
     text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
-    joint = periods.where(F.col("first_member") != F.col("last_member")).select("subject_id", F.lit("period").alias("kind"), text("period_start").alias("from_ts"), text("period_end").alias("to_ts"))
-    return joint.unionByName(intervals.gaps(periods, "subject_id").select("subject_id", F.lit("gap").alias("kind"), text("gap_start").alias("from_ts"), text("gap_end").alias("to_ts")))
+    case = lambda kind, a, b: F.struct(F.lit(kind).alias("kind"), text(a).alias("from_ts"), text(b).alias("to_ts"))
+    joint = F.when(F.col("first_member") != F.col("last_member"), case("period", "period_start", "period_end"))
+    gap = F.when(F.col("gap_end").isNotNull(), case("gap", "period_end", "gap_end"))
+    return _periods(spark, d).select("subject_id", F.explode(F.array_compact(F.array(joint, gap))).alias("x")).select("subject_id", "x.*")
 
 
 def p7_periods(spark: SparkSession, d: str) -> DataFrame:
     return _periods(spark, d).select("subject_id", F.col("period_no").cast("long").alias("period_no"), "period_start", "period_end")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_filled, p2_found, p2_known, p3_found, p3_subject_labs, p3_labs_by_admission_type, p4_found, p4_report, p5_found, p5_stay_features, p5_stay_totals, p7_found, p7_periods)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_filled, p2_found, p2_known, p3_found, p3_subject_labs, p3_labs_by_admission_type, p4_found, p4_report, p5_found, p5_stay_features, p5_stay_types, p5_stay_totals, p7_found, p7_periods)}
 
 _P2 = """
 stays AS (SELECT hadm_id, min(subject_id) AS subject_id, min(admittime) AS admittime FROM admissions GROUP BY hadm_id),
@@ -178,16 +186,28 @@ r2 AS (SELECT hadm_id, CASE WHEN v IS NOT NULL THEN v WHEN pd <= 365 THEN pv WHE
     return f"WITH {', '.join(parts)} SELECT hadm_id, {', '.join(cols)} FROM r0 JOIN r1 USING (hadm_id) JOIN r2 USING (hadm_id)"
 
 
-def _wide_sql() -> str:
+def _events_sql() -> str:
     flag = "lower(trim(coalesce(flag, '')))"
     lab = f"'lab_' || CASE WHEN {flag} IN ('abnormal', 'high', 'low', 'h', 'l', 'hh', 'll', 'a') THEN 'abnormal' ELSE 'normal' END || CASE WHEN lower(priority) LIKE '%stat%' THEN '_stat' ELSE '_routine' END"
-    cells = ", ".join(f"coalesce(count(*) FILTER (WHERE type = '{t}'), 0) AS {t}__n, round(coalesce(sum(value) FILTER (WHERE type = '{t}'), 0.0), 8) AS {t}__total, round(epoch(any_value(as_of) - max(seen_at) FILTER (WHERE type = '{t}')) / 86400.0, 8) AS {t}__recency_days" for t in WIDE_TYPES)
+    code = "nullif(trim(replace(upper(trim(icd_code)), '.', '')), '')"
     return f"""WITH {_LABS}, events AS (
 SELECT hadm_id, {lab} AS type, charttime AS seen_at, valuenum AS value FROM labs WHERE hadm_id IS NOT NULL AND charttime IS NOT NULL
 UNION ALL SELECT hadm_id, 'drg_severity_' || drg_severity::INT::VARCHAR, min(loaded_at), drg_severity FROM drgcodes WHERE drg_severity IS NOT NULL GROUP BY hadm_id, drg_severity, drg_mortality
-UNION ALL SELECT hadm_id, 'dx', min(loaded_at), 1.0 FROM diagnoses WHERE hadm_id IS NOT NULL AND trim(replace(trim(icd_code), '.', '')) <> '' GROUP BY hadm_id, upper(replace(trim(icd_code), '.', ''))),
-dated AS (SELECT *, max(seen_at) OVER (PARTITION BY hadm_id) AS as_of FROM events)
-SELECT s.hadm_id, {cells} FROM (SELECT DISTINCT hadm_id FROM admissions) s LEFT JOIN dated USING (hadm_id) GROUP BY s.hadm_id"""
+UNION ALL SELECT hadm_id, 'dx_' || {code}, min(loaded_at), 1.0 FROM diagnoses WHERE hadm_id IS NOT NULL AND {code} IS NOT NULL GROUP BY hadm_id, {code}),
+dated AS (SELECT *, date_trunc('day', max(seen_at) OVER (PARTITION BY hadm_id))::TIMESTAMP + INTERVAL 1 DAY AS as_of FROM events)
+"""
+
+
+def _types_sql() -> str:
+    inside = lambda w: f"FILTER (WHERE seen_at >= as_of - INTERVAL {w} DAY)"
+    windows = ", ".join(f"count(*) {inside(w)} AS n_{w}d, round(coalesce(sum(value) {inside(w)}, 0.0), 8) AS total_{w}d" for w in (7, 30))
+    return f"""{_events_sql()}SELECT d.hadm_id, type, count(*) AS n, round(coalesce(sum(value), 0.0), 8) AS total, round(epoch(any_value(as_of) - max(seen_at)) / 86400.0, 8) AS recency_days, {windows}
+FROM dated d JOIN (SELECT DISTINCT hadm_id FROM admissions) s USING (hadm_id) GROUP BY d.hadm_id, type"""
+
+
+def _wide_sql() -> str:
+    cells = ", ".join(f"coalesce(count(*) FILTER (WHERE type = '{t}'), 0) AS {t}__n, round(coalesce(sum(value) FILTER (WHERE type = '{t}'), 0.0), 8) AS {t}__total, round(epoch(any_value(as_of) - max(seen_at) FILTER (WHERE type = '{t}')) / 86400.0, 8) AS {t}__recency_days" for t in WIDE_TYPES)
+    return f"{_events_sql()}SELECT s.hadm_id, {cells} FROM (SELECT DISTINCT hadm_id FROM admissions) s LEFT JOIN dated USING (hadm_id) GROUP BY s.hadm_id"
 
 
 SQL = {
@@ -210,6 +230,7 @@ SELECT admission_type, count(*) AS n_pairs, count(valuenum) AS n_values, round(a
 codes AS (SELECT hadm_id, count(DISTINCT nullif(trim(replace(upper(trim(icd_code)), '.', '')), '')) AS n FROM diagnoses WHERE hadm_id IS NOT NULL GROUP BY hadm_id),
 known AS (SELECT m.hadm_id, coalesce(sum(c.n), 0) AS n FROM master_table m LEFT JOIN stays s ON s.subject_id = m.subject_id AND s.admittime < m.admittime LEFT JOIN codes c ON c.hadm_id = s.hadm_id GROUP BY m.hadm_id)
 SELECT hadm_id FROM master_table m JOIN known k USING (hadm_id) WHERE m.num_prev_diagnoses IS DISTINCT FROM k.n""",
+    "p5_stay_types": _types_sql(),
     "p5_stay_totals": _wide_sql(),
     "p7_found": f"""WITH {_P7} SELECT subject_id, 'period' AS kind, strftime(period_start, '%Y-%m-%d %H:%M:%S') AS from_ts, strftime(period_end, '%Y-%m-%d %H:%M:%S') AS to_ts FROM periods WHERE stays > 1
 UNION ALL SELECT subject_id, 'gap', strftime(period_end, '%Y-%m-%d %H:%M:%S'), strftime(nxt, '%Y-%m-%d %H:%M:%S') FROM (SELECT *, lead(period_start) OVER (PARTITION BY subject_id ORDER BY period_no) AS nxt FROM periods) WHERE nxt IS NOT NULL""",

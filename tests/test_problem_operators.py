@@ -4,6 +4,7 @@ import random
 
 import pytest
 from helpers import rows
+from pyspark.sql import functions as F
 
 from chronofold.operators import asof, eager, entity_features, fill, intervals, orphans, skew
 
@@ -18,7 +19,7 @@ def stays(spark, day, n=400, seed=3):
 
 def test_time_shards_keep_instants_whole(spark, day):
     df, data = stays(spark, day)
-    cut = skew.with_shards(df, skew.time_shards(df, "subject_id", "admittime", min_rows=20, max_hot=50), "subject_id", "admittime").collect()
+    cut = skew.with_shards(df, skew.time_shards(df, "subject_id", "admittime", floor=20, parts=50), "subject_id", "admittime").collect()
     hot = [r for r in cut if r["__hot"] and r["admittime"] is not None]
     assert len(cut) == len(data) and {r["subject_id"] for r in hot} == {1}
     by = {}
@@ -29,7 +30,7 @@ def test_time_shards_keep_instants_whole(spark, day):
     assert order == sorted(order)
 
 
-@pytest.mark.parametrize("small", [dict(min_rows=10, max_hot=40), {}])
+@pytest.mark.parametrize("small", [dict(floor=10, parts=40), {}])
 def test_fill_against_brute_force(spark, day, small):
     df, data = stays(spark, day)
     got = {r["hadm_id"]: r for r in fill.fill_along_time(df, "subject_id", "admittime", "hadm_id", {"v": (10, 100)}, {"c": 20.0}, **small).collect()}
@@ -64,7 +65,7 @@ def test_fill_empty_table_and_no_reading(spark, day):
     assert fill.fill_along_time(none.limit(0), "subject_id", "admittime", "hadm_id", {"v": (1, 2)}, {"c": 1}).count() == 0
 
 
-@pytest.mark.parametrize("small", [dict(min_rows=10, max_hot=40), {}])
+@pytest.mark.parametrize("small", [dict(floor=10, parts=40), {}])
 def test_asof_against_brute_force(spark, day, small):
     df, data = stays(spark, day)
     facts, fdata = stays(spark, day, 500, 8)
@@ -112,12 +113,11 @@ def test_salted_join(spark):
     left = spark.createDataFrame([(1 if i % 3 else i, i) for i in range(300)] + [(None, 999)], "k int, a int")
     right = spark.createDataFrame([(1, "x"), (1, "y"), (3, "z"), (None, "n")], "k int, b string")
     for how in ("inner", "left", "left_semi", "left_anti"):
-        assert rows(skew.salted_join(left, right, ["k"], how, min_rows=10, max_hot=10, salts=4)) == rows(left.join(right, ["k"], how)), how
+        assert rows(skew.salted_join(left, right, ["k"], how, floor=10, parts=10)) == rows(left.join(right, ["k"], how)), how
 
 
 def test_distributed_rank(spark):
     from pyspark.sql import Window
-    from pyspark.sql import functions as F
 
     df = spark.createDataFrame([(g, i) for i in range(500) for g in ("a", None)] + [("b", 1), ("b", 1)], "g string, i int")
     text = F.md5(F.col("i").cast("string"))
@@ -132,12 +132,15 @@ def test_orphans(spark, day):
     removed = spark.createDataFrame([("par", 2, day(1)), ("par", 1, day(1)), ("other", 3, day(1)), (None, None, None)], "parent_table string, key_id int, removed_at timestamp_ntz")
     refs = [orphans.Reference("kids", kids, "k", "par", parents, "p")]
     found = orphans.orphan_references(refs, removed)
-    assert rows(found) == sorted([("kids", 1, "2020-01", "late", 1), ("kids", 2, "2020-01", "deleted", 1), ("kids", 3, "2020-01", "missing", 2), ("kids", 5, None, "missing", 1)], key=repr)
+    assert rows(found.drop("had_parent")) == sorted([("kids", 1, "2020-01", "late", 1), ("kids", 2, "2020-01", "deleted", 1), ("kids", 3, "2020-01", "missing", 2), ("kids", 5, None, "missing", 1)], key=repr)
+    assert rows(found.where("had_parent"), "key_id") == [(2,)]
+    wide = kids.select((F.col("k") + 5_000_000_000).alias("k"), "loaded_at")
+    assert {r["key_id"] for r in orphans.orphan_references([orphans.Reference("kids", wide, "k", "par", parents, "p")], removed).collect()} == {5_000_000_000 + i for i in range(1, 6)}
     assert rows(orphans.orphan_report(found).where("reason = 'missing'"), "load_month", "n_keys", "n_rows") == [("2020-01", 1, 2), (None, 1, 1)]
     assert orphans.orphan_references([orphans.Reference("kids", kids.limit(0), "k", "par", parents, "p")], removed).count() == 0
 
 
-@pytest.mark.parametrize("small", [dict(min_rows=10, max_hot=40), {}])
+@pytest.mark.parametrize("small", [dict(floor=10, parts=40), {}])
 def test_sweep_against_brute_force(spark, day, small):
     r = random.Random(5)
     data = []
@@ -166,22 +169,42 @@ def test_features_against_brute_force(spark, day):
     r = random.Random(2)
     data = [(r.choice([1, 1, 2, 3, None]), r.choice(["x", "y", None]), day(r.randrange(60), r.randrange(24)) if r.random() > 0.05 else None, r.choice([None, float("nan"), 1.5, 2.0])) for _ in range(300)]
     events = spark.createDataFrame(data, "e int, kind string, at timestamp_ntz, v double")
-    probes = spark.createDataFrame([(1, day(40)), (2, day(20)), (3, None), (9, day(1))], "e int, t timestamp_ntz")
+    probes = spark.createDataFrame([(1, day(40, 12)), (2, day(20)), (3, None), (9, day(1))], "e int, t timestamp_ntz")
     store = entity_features.cumulative_store(events, "e", "kind", "at", "v")
-    got = {x["e"]: x["features"] for x in entity_features.window_features(store, probes, "e", "t", [10]).collect()}
+    counts = entity_features.window_counts(store, probes, "e", "t", [10])
+    got = {x["e"]: x["features"] for x in entity_features.as_maps(counts, probes, "e").collect()}
     assert got[9] == {} and got[3] == {}
-    for e, t in ((1, day(40)), (2, day(20))):
+    for e, t in ((1, day(40, 12)), (2, day(20))):
         for kind in "xy":
-            upto = [x for x in data if x[0] == e and x[1] == kind and x[2] and x[2].date() <= t.date()]
-            win = [x for x in upto if x[2].date() > day((t - day(0)).days - 10).date()]
+            upto = [x for x in data if x[0] == e and x[1] == kind and x[2] and x[2].date() < t.date()]
+            win = [x for x in upto if x[2] >= day((t - day(0)).days - 10)]
             add = lambda xs: sum(x[3] for x in xs if x[3] is not None and x[3] == x[3])
             f = got[e][kind]
             assert (f["n"], f["total"], f["n_10d"], f["total_10d"]) == (len(upto), add(upto), len(win), add(win))
             assert f["recency_days"] == pytest.approx((t - max(x[2] for x in upto)).total_seconds() / 86400)
-    flat = entity_features.wide(entity_features.window_features(store, probes, "e", "t", []), ["x", "nothing"]).where("e = 9").first()
+    flat = entity_features.as_columns(counts, probes, "e", ["x", "nothing"]).where("e = 9").first()
     assert (flat["x__n"], flat["nothing__total"], flat["x__recency_days"]) == (0, 0.0, None)
 
 
+def test_features_do_not_look_ahead_within_the_day(spark, day):
+    events = spark.createDataFrame([(1, "x", day(0, 9), 1.0), (1, "x", day(1, 9), 1.0), (1, "x", day(1, 23), 1.0)], "e int, kind string, at timestamp_ntz, v double")
+    probes = spark.createDataFrame([(1, day(1, 12))], "e int, t timestamp_ntz")
+    for grain, want in (("day", (1, 1.125)), ("instant", (2, 0.125))):
+        store = entity_features.cumulative_store(events, "e", "kind", "at", "v", grain=grain)
+        assert rows(entity_features.window_counts(store, probes, "e", "t", [], grain=grain), "n", "recency_days") == [want]
+
+
+@pytest.mark.parametrize("small", [dict(floor=10, parts=40), {}])
+def test_store_by_instant_equals_plain_sums(spark, day, small):
+    df, data = stays(spark, day)
+    store = entity_features.cumulative_store(df.withColumn("kind", F.lit("k")), "subject_id", "kind", "admittime", "v", grain="instant", **small)
+    known = [(s, t, v) for s, _, t, v, _ in data if s is not None and t is not None]
+    for r in store.collect():
+        of = [x for x in known if x[0] == r["subject_id"] and x[1] <= r["slot"]]
+        assert (r["cum_n"], r["last_time"]) == (len(of), max(x[1] for x in of))
+        assert r["cum_total"] == pytest.approx(sum(v for _, _, v in of if v is not None and v == v))
+
+
 def test_normal_code(spark):
     df = spark.createDataFrame([(" k03.4 ",), ("K034",), (".",), ("  ",), (None,)], "c string")
     assert [r[0] for r in df.select(entity_features.normal_code(df.c)).collect()] == ["K034", "K034", None, None, None]
