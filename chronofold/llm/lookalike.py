@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronofold.llm.textform import look_hashes
-from chronofold.operators.skew import MIN_ROWS, salted_join
+from chronofold.operators.skew import TASK_ROWS, salted_join
 from chronofold.session import materialize
 
 
@@ -22,7 +22,7 @@ def variant_members(hashed: DataFrame) -> DataFrame:
     return salted_join(hashed.select("id", "look"), groups, ["look"])
 
 
-def variant_pairs(hashed: DataFrame, *, min_rows: int = MIN_ROWS) -> DataFrame:
+def variant_pairs(hashed: DataFrame, *, floor: int = TASK_ROWS) -> DataFrame:
     """(doc_id_a, doc_id_b), a below b: every two documents of one look and different characters.
 
     Exact copies are one class each; only classes of a look that has several meet, and the pairs of
@@ -35,6 +35,6 @@ def variant_pairs(hashed: DataFrame, *, min_rows: int = MIN_ROWS) -> DataFrame:
     b = forms.select("look", F.col("exact").alias("exact_b"), F.col("n").alias("n_b"))
     met = forms.join(b, "look").where(F.struct("n", "exact") < F.struct(F.col("n_b").alias("n"), F.col("exact_b").alias("exact")))
     members = hashed.select("id", "exact")
-    small = salted_join(members, met.select("exact", "exact_b"), ["exact"], min_rows=min_rows).select(F.col("id").alias("id_s"), F.col("exact_b").alias("exact"))
-    pairs = salted_join(members, small, ["exact"], min_rows=min_rows)
+    small = salted_join(members, met.select("exact", "exact_b"), ["exact"], floor=floor).select(F.col("id").alias("id_s"), F.col("exact_b").alias("exact"))
+    pairs = salted_join(members, small, ["exact"], floor=floor)
     return pairs.where(F.col("id") != F.col("id_s")).select(F.least("id", "id_s").alias("doc_id_a"), F.greatest("id", "id_s").alias("doc_id_b"))

@@ -23,12 +23,12 @@ def brute_components(edges):
     return {x: find(x) for x in root}
 
 
-@pytest.mark.parametrize("min_rows", [5, 500_000])
-def test_components(spark, min_rows):
+@pytest.mark.parametrize("floor", [5, 500_000])
+def test_components(spark, floor):
     r = random.Random(1)
     edges = [(f"{r.randrange(120):03}", f"{r.randrange(120):03}") for _ in range(70)] + [(f"c{i:03}", f"c{i + 1:03}") for i in range(40)] + [("hub", f"h{i}") for i in range(30)]
     df = spark.createDataFrame([*edges, *edges[:5], (None, "x"), ("solo", "solo")], "u string, v string")
-    got = dict(rows(grouped_split.components(df, min_rows=min_rows)))
+    got = dict(rows(grouped_split.components(df, floor=floor)))
     assert got == brute_components(edges) | {"solo": "solo"}
     assert grouped_split.components(df.limit(0)).count() == 0
 
@@ -43,6 +43,49 @@ def test_related_keeps_every_record(spark):
     assert sorted(by.values()) == [[1, 2, 3], [4], [5], [6], [7, 7]]
 
 
+@pytest.mark.parametrize("floor", [5, 500_000])
+def test_related_against_brute_force(spark, floor):
+    """Three keys of whole numbers with nulls, chains through every key, and a hub that a third of all records share."""
+    r = random.Random(8)
+    data = [(i, *(None if r.random() < 0.3 else r.randrange(60) for _ in range(2)), 7 if i % 3 == 0 else None if r.random() < 0.5 else r.randrange(10, 90)) for i in range(120)]
+    edges = [((k, v), (k2, v2)) for _, *of in data for k, v in enumerate(of) for k2, v2 in enumerate(of) if v is not None and v2 is not None]
+    root = brute_components(edges)
+    want = {}
+    for i, *of in data:
+        first = next(((k, v) for k, v in enumerate(of) if v is not None), None)
+        want.setdefault(root[first] if first else ("own", i), set()).add(i)
+    for kind in ("int", "string"):
+        df = spark.createDataFrame([(i, *(v if v is None or kind == "int" else str(v) for v in of)) for i, *of in data], f"id int, a {kind}, b {kind}, c {kind}")
+        got = {}
+        for i, c in rows(grouped_split.related(df, ["a", "b", "c"], "id", floor=floor), "id", "component"):
+            got.setdefault(c, set()).add(i)
+        assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values())), kind
+
+
+def test_scaled_subset_sums_stay_close():
+    r = random.Random(12)
+    for _ in range(30):
+        have = {r.randrange(1, 10**9): r.randrange(1, 50) for _ in range(6)} | {1: 10**6, 1000: 10**5, 10**5: 10**5}
+        classes = {(10 * s, s): m for s, m in have.items()}
+        target, sums = r.randrange(10**9, 10**10), 1 << 14
+        for have, weight, got in (
+            (have, lambda s: s, grouped_split.closest_subset(have, target, sums)),
+            (classes, lambda c: c[1], grouped_split.balanced_subset(classes, target, 0, 10**11, (10**11, 10**10), sums)),
+        ):
+            assert all(0 < k <= have[c] for c, k in got.items())
+            assert abs(sum(weight(c) * k for c, k in got.items()) - target) <= 1
+
+
+def test_large_components_share_classes(spark):
+    """Counts beyond 256 rows share a class, and no component is torn."""
+    data = [(s, 1000 * s + i, int(i < s % 3)) for s in range(40) for i in range(1 if s % 2 else 250 + 7 * s)]
+    df = spark.createDataFrame(data, "subject_id int, hadm_id int, target int")
+    out = rows(grouped_split.grouped_split(df, ["subject_id", "hadm_id"], "hadm_id", "target", {"train": 0.7, "test": 0.15, "deployment": 0.15}), "subject_id", "split")
+    assert len(out) == len(data) and len(set(out)) == 40
+    for name in ("test", "deployment"):
+        assert abs(sum(x[1] == name for x in out) / len(data) - 0.15) < 0.03
+
+
 def test_closest_subset_is_exact():
     r = random.Random(4)
     for _ in range(60):
@@ -216,14 +259,14 @@ def test_skeleton():
     assert textform.words(None) == textform.words("  ...") == []
 
 
-@pytest.mark.parametrize("min_rows", [5, 500_000])
-def test_variant_pairs(spark, min_rows):
+@pytest.mark.parametrize("floor", [5, 500_000])
+def test_variant_pairs(spark, floor):
     forms = ["page", "pаge", "Page", "ｐage", "pagé", "pagé", ""]
     r = random.Random(6)
     data = [(i, r.choice([*forms, *["page"] * 6])) for i in range(90)] + [(1000, None), (1001, None)]
     hashed = lookalike.look_groups(spark.createDataFrame(data, "doc_id int, text string"), "doc_id", "text")
     want = sorted((i, j) for i, a in data for j, b in data if i < j and a is not None and b is not None and a != b and textform.skeleton(a) == textform.skeleton(b))
-    assert rows(lookalike.variant_pairs(hashed, min_rows=min_rows)) == sorted(want, key=repr)
+    assert rows(lookalike.variant_pairs(hashed, floor=floor)) == sorted(want, key=repr)
     classes = {i: (c, n) for i, c, n in rows(lookalike.variant_members(hashed), "id", "class_id", "n_forms")}
     assert len(classes) == 90 and {n for _, n in classes.values()} <= {1, 2, 3}
     assert lookalike.variant_pairs(hashed.limit(0)).count() == 0
