@@ -10,9 +10,9 @@ from chronofold.operators.skew import TASK_ROWS, salted_join
 from chronofold.session import materialize
 
 
-def look_groups(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(id, look, exact) of every text, hashed once and written to the shared folder."""
-    return materialize(look_hashes(docs, id_col, text_col))
+def look_groups(docs: DataFrame, id_col: str, text_col: str, confusables: str | None = None) -> DataFrame:
+    """(id, look, exact) of every text, hashed once and written to the shared folder. ``confusables``: see look_hashes()."""
+    return materialize(look_hashes(docs, id_col, text_col, confusables))
 
 
 def variant_members(hashed: DataFrame) -> DataFrame:
@@ -31,9 +31,9 @@ def variant_pairs(hashed: DataFrame, *, floor: int = TASK_ROWS) -> DataFrame:
     """
     forms = hashed.groupBy("look", "exact").agg(F.count(F.lit(1)).alias("n"))
     several = forms.groupBy("look").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("look")
-    forms = forms.join(several, "look")
+    forms = forms.join(several, "look", "left_semi")
     b = forms.select("look", F.col("exact").alias("exact_b"), F.col("n").alias("n_b"))
-    met = forms.join(b, "look").where(F.struct("n", "exact") < F.struct(F.col("n_b").alias("n"), F.col("exact_b").alias("exact")))
+    met = salted_join(forms, b, ["look"], floor=floor).where(F.struct("n", "exact") < F.struct(F.col("n_b").alias("n"), F.col("exact_b").alias("exact")))
     members = hashed.select("id", "exact")
     small = salted_join(members, met.select("exact", "exact_b"), ["exact"], floor=floor).select(F.col("id").alias("id_s"), F.col("exact_b").alias("exact"))
     pairs = salted_join(members, small, ["exact"], floor=floor)

@@ -8,7 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronofold.operators.skew import distributed_rank
@@ -185,6 +185,19 @@ def pack(docs: DataFrame, id_col: str, text_col: str, capacity: int, tokenizer:
     return cut_up.join(placed, "row_no").select("id", "piece_no", "start_char", "n_tokens", "container_id", "token_offset", "text")
 
 
+def unpack(packed: DataFrame, capacity: int) -> DataFrame:
+    """(id, text) of every item, put together again from its pieces in order; an error if a container holds more than ``capacity`` tokens in several pieces, or overlapping ones.
+
+    Ids must be unique. A text of several pieces is as large as it was before.
+    """
+    line = Window.partitionBy("container_id").orderBy("token_offset", F.col("n_tokens").desc(), "id", "piece_no")
+    end = F.col("token_offset") + F.greatest("n_tokens", F.lit(1))
+    placed = packed.withColumns({"__before": F.lag(end).over(line), "__end": end})
+    wrong = (F.col("token_offset") < F.coalesce("__before", F.lit(0))) | ((F.col("__end") > capacity) & (F.col("token_offset") > 0))
+    sound = placed.select("id", F.struct("piece_no", F.when(wrong, F.raise_error(F.lit("containers overlap or overflow"))).otherwise(F.col("text")).alias("text")).alias("x"))
+    return sound.groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["text"]), "").alias("text"))
+
+
 def bucket_batches(docs: DataFrame, id_col: str, text_col: str, capacity: int, buckets: int = 16, tokenizer: str = TOKENIZER) -> DataFrame:
     """(id, piece_no, start_char, n_tokens, bucket_end, container_id, text): batches of capacity // bucket_end items inside optimal length buckets.
 

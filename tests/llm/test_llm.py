@@ -198,6 +198,7 @@ def test_pack_round_trip(spark, name):
         if count([t or ""])[0] <= 128:
             assert len(texts[i]) == 1
     assert packing.pack(docs.limit(0), "id", "text", 128, path).count() == 0
+    assert rows(packing.unpack(packing.pack(docs, "id", "text", 128, path), 128)) == sorted(((i, t or "") for i, t in enumerate([*TEXTS, *TEXTS])), key=repr)
 
 
 def test_plan_holds_every_item_once():
@@ -251,14 +252,34 @@ def test_bucket_batches_fit(spark):
 
 
 def test_skeleton():
-    same = [("Ａｂ　c", "Ab c"), ("Ab c", "Ab c"), ("café", "café"), ("so­ft​", "soft"), ("асе", "ace"), ("Ηοn", "Hon"), ("ӧ", "ö"), ("ﬁ", "fi")]
+    same = [("Ａｂ　c", "Ab c"), ("Ab\u00a0c", "Ab c"), ("cafe\u0301", "café"), ("so\u00adft\u200b", "soft"), ("асе", "ace"), ("Ηοn", "Hon"), ("ӧ", "ö"), ("ﬁ", "fi")]
+    same += [(x, y) for x, y in zip("ɑνραıӏօᎪⲟ\u2010𝐀ꓐ", "avpailoAo-AB", strict=True)] + [("ά", "á"), ("Ⅳ", "IV"), ("…", "...")]
     assert all(textform.skeleton(a) == textform.skeleton(b) for a, b in same)
     assert len({textform.skeleton(t) for t in ("Abc", "abc", "ábc", "abc.", "ab c", "cba")}) == 6
+    different = [("x²", "x2"), ("™", "TM"), ("①", "1"), ("½", "1\u20442"), ("´", " \u0301"), ("ſ", "s"), ("\u2019", "'"), ("—", "-")]
+    assert all(textform.skeleton(a) != textform.skeleton(b) for a, b in different)
     assert textform.words("АВН АВн, Αβή2!") == textform.words("авн авн αΒΉ2")
-    assert textform.words("soft­hyphen, été") == ["softhyphen", "été"]
+    assert textform.words("ΝΟΜΟΣ") == textform.words("νομος") and textform.words("value") == textform.words("νalue")
+    assert textform.words("soft\u00adhyphen, été") == [textform.words("softhuphen")[0], "e\u0301te\u0301"]
     assert textform.words(None) == textform.words("  ...") == []
 
 
+def test_skeleton_is_idempotent():
+    r = random.Random(14)
+    pool = [chr(c) for c in range(0x20, 0x3000) if unicodedata.category(chr(c)) not in ("Cn", "Cs")] + [chr(c) for c in range(0xFB00, 0xFFEF) if unicodedata.category(chr(c)) != "Cn"]
+    for _ in range(3000):
+        once = textform.skeleton("".join(r.choice(pool) for _ in range(6)))
+        assert textform.skeleton(once) == once
+
+
+def test_confusables_file(spark, tmp_path):
+    path = tmp_path / "confusables.txt"
+    path.write_text("# Source ; Target ; Type\n006D ;\t0072 006E ;\tMA\t# m to rn\n0430 ;\t0061 ;\tMA\n", encoding="utf-8")
+    df = spark.createDataFrame([(1, "modеrn"), (2, "rnodеm"), (3, "mаd"), (4, "mad"), (5, None)], "id int, text string")
+    classes = {i: c for i, c, _ in rows(lookalike.variant_members(lookalike.look_groups(df, "id", "text", str(path))), "id", "class_id", "n_forms")}
+    assert classes == {1: 1, 2: 1, 3: 3, 4: 3}
+
+
 @pytest.mark.parametrize("floor", [5, 500_000])
 def test_variant_pairs(spark, floor):
     forms = ["page", "pаge", "Page", "ｐage", "pagé", "pagé", ""]
