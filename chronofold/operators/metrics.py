@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICES = 1024
+#: Distinct scores a slice.
+SLICE_SCORES = 100_000
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -30,7 +31,7 @@ def confusion(y: str, pred: Column) -> dict[str, Column]:
 def score_groups(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """(by, score, pos, neg, tp, fp, n_pos, n_neg): for every distinct score from the highest down, the positives and negatives at and above it.
 
-    Rows are first added up by score. The running sums are local to one of SLICES slices of the score's range, plus
+    Rows are first added up by score. The running sums are local to a slice of the scores' own range, one for every SLICE_SCORES distinct scores, plus
     the sums of the slices above: no task holds all scores. Null scores and labels are left out.
     """
     return running(df.where(F.col(score).isNotNull() & F.col(y).isNotNull()).groupBy(*by, F.col(score).cast("double").alias("score")).agg(F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg")), by)
@@ -38,7 +39,9 @@ def score_groups(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> D
 
 def running(groups: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """score_groups() of (by, score, pos, neg)."""
-    cut = groups.withColumn("__slice", F.floor(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("score"))) * SLICES))
+    ends = groups.agg(F.struct(F.min("score").alias("lo"), F.max("score").alias("hi"), F.ceil(F.count(F.lit(1)) / F.lit(SLICE_SCORES)).alias("k")).alias("x")).scalar()
+    place = (F.col("score") / 2 - ends["lo"] / 2) / F.nullif(ends["hi"] / 2 - ends["lo"] / 2, F.lit(0.0)) * ends["k"]
+    cut = groups.withColumn("__slice", F.coalesce(F.floor(place), F.lit(0)))
     keys = [*by, "__slice"]
     sums = cut.groupBy(*keys).agg(F.sum("pos").alias("__p"), F.sum("neg").alias("__n"))
     above = Window.partitionBy(*by).orderBy(F.col("__slice").desc()).rowsBetween(Window.unboundedPreceding, -1)

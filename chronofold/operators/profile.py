@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -44,19 +45,77 @@ def zero_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _unpivot(df, cells, "column")
 
 
-def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, n, mean, std, min, q25, q50, q75, max): exact, sample deviation, null and NaN left out."""
-    cells = {}
+def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float], *, bins: int = 1024, keep: int = 10_000) -> dict[str, list[float | None]]:
+    """For each column its quantiles at ``shares``, interpolated between the two nearest ranks; exact, null and NaN left out, infinities counted as the largest numbers; None without a value.
+
+    The ranks are narrowed down: a pass counts the rows of ``bins`` equal bins of every range that still holds a wanted rank (partial aggregates, at most
+    ``bins`` rows a range), until a range is one value or holds at most ``keep`` rows, whose values are then listed. No task sees a column's distinct values. Ranges are
+    cut between the values that occur, so most columns take two or three passes.
+    """
+    top = 1.7976931348623157e308
+    number = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
+    v = {c: F.when(x > top, top).when(x < -top, -top).otherwise(x) for c, x in number.items()}
+    row = df.agg(*[f(x).alias(f"{k}{i}") for i, x in enumerate(v.values()) for k, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]).first()
+    n = {c: row[f"n{i}"] for i, c in enumerate(columns)}
+    wanted = {c: sorted({r for q in shares for r in (math.floor(q * (n[c] - 1)), math.ceil(q * (n[c] - 1)))}) if n[c] else [] for c in columns}
+    # A range: column, ends, rows before it, rows in it, wanted ranks in it.
+    todo = [(c, row[f"lo{i}"], row[f"hi{i}"], 0, n[c], wanted[c]) for i, c in enumerate(columns) if n[c]]
+    at: dict[tuple[str, int], float] = {}
+    listed = []
+    while todo:
+        wide = []
+        for r in todo:
+            c, lo, hi, _, rows, ranks = r
+            if lo == hi:
+                at |= {(c, k): lo for k in ranks}
+            else:
+                (listed if rows <= keep else wide).append(r)
+        todo = []
+        if not wide:
+            break
+        cells = [F.when(v[c].between(lo, hi), F.struct(F.lit(i).alias("i"), F.least(F.lit(bins - 1), F.floor((v[c] / 2 - lo / 2) / F.lit(hi / 2 - lo / 2) * bins)).alias("bin"), v[c].alias("v"))) for i, (c, lo, hi, *_) in enumerate(wide)]
+        counts = df.select(F.explode(F.array_compact(F.array(*cells))).alias("x")).groupBy("x.i", "x.bin").agg(F.count(F.lit(1)).alias("n"), F.min("x.v").alias("lo"), F.max("x.v").alias("hi")).collect()
+        for i, (c, _, _, before, _, ranks) in enumerate(wide):
+            for x in sorted((x for x in counts if x["i"] == i), key=lambda x: x["bin"]):
+                inside = [k for k in ranks if before <= k < before + x["n"]]
+                if inside:
+                    todo.append((c, x["lo"], x["hi"], before, x["n"], inside))
+                before += x["n"]
+    if listed:
+        cells = [F.when(v[c].between(lo, hi), F.struct(F.lit(i).alias("i"), v[c].alias("v"))) for i, (c, lo, hi, *_) in enumerate(listed)]
+        values: list[list[tuple[float, int]]] = [[] for _ in listed]
+        for x in df.select(F.explode(F.array_compact(F.array(*cells))).alias("x")).groupBy("x.i", "x.v").agg(F.count(F.lit(1)).alias("n")).collect():
+            values[x["i"]].append((x["v"], x["n"]))
+        for (c, _, _, before, _, ranks), found in zip(listed, values, strict=True):
+            for value, many in sorted(found):
+                at |= {(c, k): value for k in ranks if before <= k < before + many}
+                before += many
+    out: dict[str, list[float | None]] = {}
     for c in columns:
-        v = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
-        q = F.percentile(v, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        cells[c] = {"n": F.count(v), "mean": F.avg(v), "std": F.stddev_samp(v), "min": F.min(v), "q25": q[0], "q50": q[1], "q75": q[2], "max": F.max(v)}
-    return _unpivot(df, cells, "column")
+        out[c] = []
+        for q in shares:
+            if not n[c]:
+                out[c].append(None)
+                continue
+            place = q * (n[c] - 1)
+            low, high = at[(c, math.floor(place))], at[(c, math.ceil(place))]
+            out[c].append(low + (high - low) * (place - math.floor(place)))
+    return out
+
+
+def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, n, mean, std, min, q25, q50, q75, max): exact, sample deviation, null and NaN left out. A row a column."""
+    v = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns}
+    row = df.agg(*[f(x).alias(f"{k}{i}") for i, x in enumerate(v.values()) for k, f in (("n", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))]).first()
+    q = exact_quantiles(df, columns, (0.25, 0.5, 0.75))
+    rows = [(c, row[f"n{i}"], row[f"mean{i}"], row[f"std{i}"], row[f"min{i}"], *q[c], row[f"max{i}"]) for i, c in enumerate(columns)]
+    return df.sparkSession.createDataFrame(rows, "column string, n long, mean double, std double, min double, q25 double, q50 double, q75 double, max double")
 
 
 def medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row with the exact median of each column, null and NaN left out."""
-    return df.agg(*[F.percentile(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), F.lit(0.5)).alias(c) for c in columns])
+    q = exact_quantiles(df, columns, (0.5,))
+    return df.sparkSession.createDataFrame([tuple(q[c][0] for c in columns)], ", ".join(f"`{c}` double" for c in columns))
 
 
 def repeats(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -69,15 +69,27 @@ def row_split(df: DataFrame, keys: Sequence[str], label: str, shares: dict[str,
     return ranked.withColumn("split", _by_share(ranked, shares)).drop("__rk", "__n")
 
 
-def check_split(df: DataFrame, group: str, split: str, whole: DataFrame) -> dict[str, int]:
-    """Raises ValueError if splits share a group, miss one, or have a foreign one; else the counts."""
-    names = [r[0] for r in df.select(split).distinct().collect()]
+def check_split(df: DataFrame, group: str, split: str, whole: DataFrame, *, most: int = 1000) -> dict[str, int]:
+    """Raises ValueError if splits share a group, miss one, have a foreign one, or are more than ``most``; else the counts."""
+    names = [r[0] for r in df.select(split).distinct().limit(most + 1).collect()]
+    if len(names) > most:
+        raise ValueError(f"more than {most} splits")
     found = coverage([df.where(F.col(split) == n) for n in names], whole, group).first().asDict()
     if any(found.values()):
         raise ValueError(f"the split isn't sound: {found}")
     return found
 
 
+def check_positive_groups(df: DataFrame, group: str, label: str, shares: dict[str, float], *, least: int = 3) -> int:
+    """The number of groups with a positive. ValueError if the shares aren't positive numbers that add up to 1, or if there are fewer than ``least`` such groups or than splits, so that a split would be without any."""
+    if any(x <= 0 for x in shares.values()) or abs(sum(shares.values()) - 1) > 1e-9:
+        raise ValueError(f"shares must be positive and add up to 1: {shares}")
+    n = df.where((F.col(label) == 1) & F.col(group).isNotNull()).select(group).distinct().limit(max(least, len(shares))).count()
+    if n < max(least, len(shares)):
+        raise ValueError(f"only {n} values of {group} have a positive {label}; {max(least, len(shares))} are needed")
+    return n
+
+
 def ordinal(df: DataFrame, order: Sequence[str], out: str = "row_no") -> DataFrame:
     """Row numbers from 0 in the order of ``order``, without one task sorting all rows: range partitions, counted, then offset."""
     local = materialize(df.orderBy(*order).withColumn("__part", F.spark_partition_id()).withColumn("__local", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))))

@@ -8,9 +8,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from chronofold.functions.exprs import bucket
-from chronofold.sources.readers import exists, read_table
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -64,14 +64,68 @@ def upserted(old: DataFrame | None, new: DataFrame, keys: Sequence[str], order:
     return tagged.withColumn("__rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*by))).where("__rn = 1").drop("__rn", "__new")
 
 
-def upsert(new: DataFrame, path: str, keys: Sequence[str], order: Sequence[str] = ()) -> None:
-    """Upsert into a parquet table: written beside it, then swapped, as a table can't be overwritten while it is read."""
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """The versions of an upserted table that are complete, oldest first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    names = [x.getPath().getName() for x in fs.listStatus(folder)]
+    return sorted(int(n[9:-5]) for n in names if n.startswith("manifest-") and n.endswith(".json"))
+
+
+def _manifest(spark: SparkSession, path: str, version: int) -> dict:
+    return read_json(spark, f"{path}/manifest-{version:010d}.json")
+
+
+def read_upserted(spark: SparkSession, path: str) -> DataFrame:
+    """The last complete version of a table that upsert() writes; FileNotFoundError if there is none."""
+    versions = _versions(spark, path)
+    if not versions:
+        raise FileNotFoundError(f"no such table: {path}")
+    return _read_buckets(spark, _manifest(spark, path, versions[-1]), None)
+
+
+def _read_buckets(spark: SparkSession, manifest: dict, buckets: Sequence[int] | None) -> DataFrame:
+    schema = StructType.fromJson(manifest["schema"])
+    folders = [f for b, f in manifest["buckets"].items() if buckets is None or int(b) in buckets]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
+def upsert(new: DataFrame, path: str, keys: Sequence[str], order: Sequence[str] = (), *, buckets: int = 64) -> int:
+    """Upsert into the table at ``path`` (read it with read_upserted()); the version written.
+
+    Rows lie in ``buckets`` by a hash of their keys, a number fixed by the first version. Only buckets with new keys are read and written, into a folder of this version; then a manifest that names
+    the folder of every bucket is put in place by one rename. Readers see the version before or this one, and a crash leaves the version before; of two
+    writers at once the later one fails (OSError). Files of versions before the last but one are removed. New columns are added, null in old rows of the touched buckets and in others.
+    """
     spark = new.sparkSession
-    old = read_table(spark, path) if exists(spark, path) else None
-    side = f"{path.rstrip('/')}.{uuid.uuid4().hex[:8]}.parquet"
-    upserted(old, new, keys, order).write.parquet(side)
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(fs_path(path), True)
-    if not fs.rename(fs_path(side), fs_path(path)):
-        raise OSError(f"can't move {side} to {path}")
+    versions = _versions(spark, path)
+    last = _manifest(spark, path, versions[-1]) if versions else {"buckets": {}, "n": buckets, "schema": None}
+    slot = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(last["n"])).cast("int")
+    touched = [r[0] for r in new.select(slot.alias("b")).distinct().collect()]  # at most as many as there are buckets
+    old = _read_buckets(spark, last, touched) if versions else None
+    rows = upserted(old, new, keys, order)
+    if versions:  # buckets that aren't touched are read with the whole schema, too
+        known = StructType.fromJson(last["schema"])
+        schema = StructType([*known.fields, *[f for f in rows.schema.fields if f.name not in known.fieldNames()]])
+        rows = rows.select(*schema.fieldNames())
+    else:
+        schema = rows.schema
+    version, data = (versions[-1] + 1 if versions else 1), f"{path}/data-{uuid.uuid4().hex}"
+    rows.withColumn("__bucket", slot).repartition("__bucket").write.partitionBy("__bucket").parquet(data)
+    manifest = {"n": last["n"], "schema": schema.jsonValue(), "buckets": last["buckets"] | {str(b): f"{data}/__bucket={b}" for b in touched}}
+    side, place = f"{path}/.{uuid.uuid4().hex}", f"{path}/manifest-{version:010d}.json"
+    write_json(spark, manifest, side)
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(at(place)) or not fs.rename(at(side), at(place)):
+        fs.delete(at(side), False)
+        fs.delete(at(data), True)
+        raise OSError(f"version {version} of {path} is there already")
+    for v in versions[:-1]:
+        kept = {f for m in (last, manifest) for f in m["buckets"].values()}
+        for folder in set(_manifest(spark, path, v)["buckets"].values()) - kept:
+            fs.delete(at(folder), True)
+        fs.delete(at(f"{path}/manifest-{v:010d}.json"), False)
+    return version

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ def read_files(spark: SparkSession, path: str, schema, files_per_trigger: int =
 
 
 def stream_upsert(stream: DataFrame, path: str, keys: Sequence[str], order: Sequence[str], checkpoint: str) -> StreamingQuery:
-    """Each batch is upserted into the parquet table at ``path``; takes what there is and ends. Running a batch again gives the same table."""
+    """Each batch is upserted into the table at ``path`` (read_upserted()), its buckets with new keys only; takes what there is and ends. Running a batch again gives the same table."""
 
     def write(batch: DataFrame, _: int) -> None:
         if not batch.isEmpty():
@@ -38,31 +39,39 @@ def stream_profile(stream: DataFrame, label: str, columns: Sequence[str]) -> Dat
     return stream.groupBy(label).agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns])
 
 
-def stream_history(stream: DataFrame, entity: str, time: str, kind: str, value: str, *, probe: str) -> DataFrame:
-    """(entity, time, n_before, total_before) of each row of kind ``probe``: the other rows that arrived for its entity with an earlier time.
+def stream_history(stream: DataFrame, entity: str, time: str, kind: str, value: str, *, probe: str, late: str = "2 days") -> DataFrame:
+    """(entity, time, n_before, total_before) of each row of kind ``probe``: the entity's other rows with an earlier time.
 
-    The state of an entity holds its rows of the batches so far by time, as late facts may precede a probe still to come.
+    Rows may arrive out of order by up to ``late``: a probe is held until the watermark has passed it, so facts that arrive in a later batch than the probe count as well, and
+    the rows equal those of a batch query. Rows later than that are dropped by the watermark; probes within ``late`` of the newest row wait for newer ones. The state of an entity is the sum
+    of its facts before the watermark, and those after it one by one: it is bounded by what arrives within ``late``.
     """
     kinds = dict(stream.dtypes)
     out = f"{entity} {kinds[entity]}, {time} timestamp, n_before long, total_before double"
 
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        times, values = state.get if state.exists else ([], [])
-        times, values = list(times), list(values)
-        rows = pd.concat(list(batches))
-        facts = rows[rows[kind] != probe]
-        times += [int(t.value // 1000) for t in facts[time]]
-        values += [float(v) for v in facts[value].fillna(0.0)]
-        state.update((times, values))
-        done = []
-        for t in rows[rows[kind] == probe][time]:
-            before = [v for u, v in zip(times, values, strict=True) if u < t.value // 1000]
-            done.append((key[0], t, len(before), sum(before)))
-        if done:
-            yield pd.DataFrame(done, columns=[entity, time, "n_before", "total_before"])
-
-    zoned = stream.select(entity, F.col(time).cast("timestamp").alias(time), kind, F.col(value).cast("double").alias(value))
-    return zoned.groupBy(entity).applyInPandasWithState(step, out, "times array<long>, vals array<double>", "append", GroupStateTimeout.NoTimeout)
+        n, total, times, values, probes = state.get if state.exists else (0, 0.0, [], [], [])
+        frames = [b for b in batches if len(b)] if not state.hasTimedOut else []
+        t = np.concatenate([np.array(times, np.int64), *[b[time].to_numpy("datetime64[us]").astype(np.int64)[(b[kind] != probe).to_numpy()] for b in frames]])
+        x = np.concatenate([np.array(values, float), *[b[value].fillna(0.0).to_numpy(float)[(b[kind] != probe).to_numpy()] for b in frames]])
+        p = np.sort(np.concatenate([np.array(probes, np.int64), *[b[time].to_numpy("datetime64[us]").astype(np.int64)[(b[kind] == probe).to_numpy()] for b in frames]]))
+        order = np.argsort(t, kind="stable")
+        t, x = t[order], x[order]
+        passed = state.getCurrentWatermarkMs() * 1000
+        upto = np.concatenate([[0.0], np.cumsum(x)])
+        ready, p = p[p < passed], p[p >= passed]
+        k = np.searchsorted(t, ready, side="left")
+        done = pd.DataFrame({entity: [key[0]] * len(ready), time: ready.astype("datetime64[us]"), "n_before": n + k, "total_before": total + upto[k]})
+        # What is older than the watermark comes before every probe still to be answered.
+        old = int(np.searchsorted(t, min(passed, p[0]) if len(p) else passed, side="left"))
+        state.update((int(n + old), float(total + upto[old]), t[old:].tolist(), x[old:].tolist(), p.tolist()))
+        if len(p):
+            state.setTimeoutTimestamp(max(int(p[0]) // 1000 + 1, state.getCurrentWatermarkMs() + 1))
+        if len(done):
+            yield done
+
+    zoned = stream.select(entity, F.col(time).cast("timestamp").alias(time), kind, F.col(value).cast("double").alias(value)).withWatermark(time, late)
+    return zoned.groupBy(entity).applyInPandasWithState(step, out, "n long, total double, times array<long>, vals array<double>, probes array<long>", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def run_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataFrame:

@@ -49,13 +49,61 @@ def test_partitions_split_files_and_json(spark, tmp_path):
 
 
 def test_upsert(spark, tmp_path):
-    path = f"{tmp_path}/u.parquet"
-    a = spark.createDataFrame([(1, "a", 1), (2, "a", 1)], "k int, v string, t int")
+    path = f"{tmp_path}/u"
+    a = spark.createDataFrame([(1, "a", 1), (2, "a", 1), (None, "a", 1)], "k int, v string, t int")
     b = spark.createDataFrame([(2, "b", 1), (2, "c", 5), (3, "b", 1)], "k int, v string, t int")
-    writers.upsert(a, path, ["k"], ["t"])
+    with pytest.raises(FileNotFoundError):
+        writers.read_upserted(spark, path)
+    assert writers.upsert(a, path, ["k"], ["t"], buckets=8) == 1
+    before = writers.read_upserted(spark, path)
     for _ in range(2):
         writers.upsert(b, path, ["k"], ["t"])
-    assert rows(readers.read_table(spark, path), "k", "v") == [(1, "a"), (2, "c"), (3, "b")]
+    assert rows(writers.read_upserted(spark, path), "k", "v") == sorted([(1, "a"), (2, "c"), (3, "b"), (None, "a")], key=repr)
+    assert writers.upsert(b.limit(0), path, ["k"], ["t"]) == 4 and before.columns == ["k", "v", "t"]
+    writers.upsert(spark.createDataFrame([(4, "d", 1, 2.5)], "k int, v string, t int, w double"), path, ["k"], ["t"])
+    assert rows(writers.read_upserted(spark, path), "k", "w") == sorted([(1, None), (2, None), (3, None), (None, None), (4, 2.5)], key=repr)
+    kept = [p.name for p in (tmp_path / "u").iterdir() if p.name.startswith("manifest")]
+    assert sorted(kept) == ["manifest-0000000004.json", "manifest-0000000005.json"]
+
+
+def test_crash_before_the_manifest_leaves_the_last_version(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/u"
+    writers.upsert(spark.createDataFrame([(1, "a")], "k int, v string"), path, ["k"])
+
+    def fail(*_):
+        raise OSError("disk gone")
+
+    monkeypatch.setattr(writers, "write_json", fail)
+    with pytest.raises(OSError):
+        writers.upsert(spark.createDataFrame([(1, "b"), (2, "b")], "k int, v string"), path, ["k"])
+    assert rows(writers.read_upserted(spark, path)) == [(1, "a")]
+
+
+def test_exact_quantiles(spark):
+    import random
+
+    from chronofold.operators import profile
+
+    r = random.Random(3)
+    data = [(r.choice([None, float("nan"), r.gauss(0, 1), r.expovariate(1) ** 9, 7.0]), r.randrange(5), None, 10.0 ** r.randrange(-9, 9)) for _ in range(2000)]
+    df = spark.createDataFrame(data, "a double, b int, c double, d double")
+    q = (0.0, 0.25, 0.5, 0.9, 1.0)
+    for kw in ({}, {"bins": 7, "keep": 5}):
+        got = profile.exact_quantiles(df, ["a", "b", "c", "d"], q, **kw)
+        for i, c in ((0, "a"), (1, "b"), (3, "d")):
+            have = [float(x[i]) for x in data if x[i] is not None and x[i] == x[i]]
+            assert got[c] == pytest.approx(np.quantile(have, q).tolist())
+        assert got["c"] == [None] * 5
+    assert profile.describe(df.limit(0), ["a"]).first()["q50"] is None and profile.medians(df.limit(0), ["b"]).first()[0] is None
+
+
+def test_running_metrics_of_scores_of_any_range(spark, monkeypatch):
+    monkeypatch.setattr(metrics, "SLICE_SCORES", 3)
+    for a, b in ((1.0, 0.0), (500.0, -3000.0), (1e-9, 7.0)):
+        df = spark.createDataFrame([(p * a + b, y) for p, y in GOLDEN], "p double, y int")
+        r = metrics.ranking(metrics.score_groups(df, "y", "p")).first()
+        assert (round(r["roc_auc"], 6), round(r["pr_auc"], 6)) == (0.722222, 0.755556)
+    assert metrics.ranking(metrics.score_groups(df.limit(0), "y", "p")).first()["roc_auc"] is None
 
 
 def test_expressions(spark):
@@ -123,6 +171,10 @@ def test_splits_do_not_depend_on_order(spark):
     assert not any(sampling.check_split(split, "g", "split", df.where("g IS NOT NULL")).values())
     with pytest.raises(ValueError):
         sampling.check_split(split.union(split.withColumn("split", F.lit("b"))), "g", "split", df.where("g IS NOT NULL"))
+    assert sampling.check_positive_groups(df, "g", "y", {"a": 0.7, "b": 0.3}) == 3
+    for few, shares in ((df.where("i < 60"), {"a": 0.7, "b": 0.3}), (df, {"a": 0.7, "b": 0.2}), (df, {"a": 1.0, "b": 0.0})):
+        with pytest.raises(ValueError):
+            sampling.check_positive_groups(few, "g", "y", shares)
     assert len(sampling.grid_sample({"a": [1, 2, 3], "b": [1, 2]}, 4)) == 4
 
 
