@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,3 +52,13 @@ def fit_scaler(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float,
 
 def scale(df: DataFrame, params: dict[str, tuple[float, float]]) -> DataFrame:
     return df.withColumns({c: (F.col(c) - F.lit(m)) / F.lit(s) for c, (m, s) in params.items()})
+
+
+def scale_vector(train: DataFrame, vec: str) -> Callable[[DataFrame], DataFrame]:
+    """A function that scales a vector column by the mean and population deviation its places have in ``train``; a constant place has deviation 1."""
+    row = train.select(Summarizer.metrics("mean", "variance", "count").summary(F.col(vec)).alias("x")).select("x.*").first()
+    n, mean = row["count"], row["mean"].toArray()
+    deviation = np.sqrt(row["variance"].toArray() * (n - 1) / max(n, 1))
+    deviation[deviation == 0] = 1.0
+    places = F.array(*[F.struct(F.lit(float(m)).alias("m"), F.lit(float(s)).alias("s")) for m, s in zip(mean, deviation, strict=True)])
+    return lambda df: df.withColumn(vec, array_to_vector(F.zip_with(vector_to_array(vec), places, lambda v, p: (v - p["m"]) / p["s"])))

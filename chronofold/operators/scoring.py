@@ -16,6 +16,8 @@ KEYS = ("subject_id", "hadm_id", "admittime")
 
 
 class ScoringResult(NamedTuple):
+    """The three tables of a scoring run."""
+
     master: DataFrame
     model_ready: DataFrame
     predictions: DataFrame

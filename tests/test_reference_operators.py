@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronofold.functions import exprs as x
-from chronofold.operators import contract, encode, explain, history, impute, metrics, models, neighbors, relational, sampling, scoring
+from chronofold.operators import contract, encode, explain, history, impute, inference, metrics, models, neighbors, relational, sampling, scoring
 from chronofold.operators.history import History
 from chronofold.plans import clinical
 from chronofold.session import materialize
@@ -203,7 +203,8 @@ def test_models_and_artefact(spark, tmp_path):
     df = spark.createDataFrame([(i, *map(float, r), int(t)) for i, (r, t) in enumerate(zip(a, y, strict=True))], "i int, a double, b double, c double, y int")
     df = df.withColumn("a", F.when(F.col("i") % 17 != 0, F.col("a")))
     data = models.Features.fit(df, ["a", "b", "c"]).apply(df).cache()
-    names = ["a", "a_", "b", "b_", "c", "c_"]
+    names = models.Features.fit(df, ["a", "b", "c"]).names
+    assert names == ["a", "b", "c", "a_missing"]
     for kind in ("tree", "forest", "boosted"):
         model = models.fit(data, kind, "y", **({"maxIter": 4, "maxDepth": 3} if kind == "boosted" else {"numTrees": 5, "maxDepth": 3} if kind == "forest" else {"maxDepth": 3}))
         scored = models.positive_score(model, data)
@@ -217,7 +218,7 @@ def test_models_and_artefact(spark, tmp_path):
         assert models.calibrate(scored, "score", "y", method)(scored).select("calibrated").count() == 400
     meta = models.save_packaged(model, f"{tmp_path}/pack", spark, {"feature_columns": names, "threshold": 0.84})
     loaded, back = models.load_packaged(spark, f"{tmp_path}/pack")
-    assert back == meta and models.summarize(loaded, back) == {"model_class": "GBTClassificationModel", "threshold": 0.84, "calibration": "none", "n_features": 6}
+    assert back == meta and models.summarize(loaded, back) == {"model_class": "GBTClassificationModel", "threshold": 0.84, "calibration": "none", "n_features": 4}
     assert models.positive_score(loaded, data).count() == 400
 
 
@@ -273,8 +274,13 @@ def test_clinical_master(master):
 def test_clinical_model_ready_and_scores(spark, master):
     ready = clinical.model_ready(master)
     assert ready.columns == [*clinical.KEYS, *clinical.NUMERIC, *clinical.CATEGORICAL, "target"]
-    parts = clinical.split_tables(ready)
-    assert sum(p.count() for p in parts.values()) == 5
+    with pytest.raises(ValueError):
+        clinical.split_tables(ready)  # one subject has a positive
+    many = ready.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(9)))).withColumn("subject_id", F.col("subject_id") + F.col("k") * 10).drop("k")
+    parts = clinical.split_tables(many)
+    assert sum(p.count() for p in parts.values()) == 50
+    with pytest.raises(ValueError):
+        clinical.split_tables(many.withColumn("admittime", F.lit(None).cast("timestamp_ntz")))
     scored = ready.withColumn("score", F.lit(0.84))
     preds = scoring.predictions(scored, "score", 0.84, {"model_version": "m"})
     assert {r["predicted_label"] for r in preds.collect()} == {1}
@@ -311,6 +317,79 @@ def test_ml_shap_explains_every_held_row(spark):
     from chronofold.plans import evaluation
 
     d = "/root/testdata/sf0.01"
-    held = evaluation._model_data(spark, d)[1].select("hadm_id")
+    train, held, names = evaluation._model_data(spark, d)
+    held = held.select("hadm_id")
+    assert len(names) >= 49 and train.count() > held.count()
     got = evaluation.ml_shap(spark, d).select(F.col("id").alias("hadm_id"))
     assert rows(got) == rows(held) and got.count() > 500
+
+
+def test_scorer_from_raw_tables(spark, day, master, tmp_path):
+    ready = clinical.model_ready(master)
+    many = ready.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(9)))).withColumn("subject_id", F.col("subject_id") + F.col("k") * 10).drop("k")
+    scorer = clinical.train_scorer(many, "tree", metadata={"best_threshold": 0.84, "model_name": "t"})
+    assert scorer.threshold == 0.84 and clinical.train_scorer(many, "tree", threshold=0.2, metadata={"best_threshold": 0.84}).threshold == 0.2
+    meta = scorer.save(spark, f"{tmp_path}/art")
+    loaded = inference.Scorer.load(spark, f"{tmp_path}/art")
+    assert meta["trained_model_feature_count"] == len(loaded.features.columns) == 39 + sum(len(v) - 1 for v in loaded.levels.values())
+    now = dt.datetime(2025, 1, 1, tzinfo=dt.timezone.utc)
+    done = clinical.score_raw(spark, clinical_tables(spark, day), loaded, f"{tmp_path}/run", now)
+    want = rows(scorer.predict(ready, now), "hadm_id", "predicted_probability", "predicted_label", "model_version")
+    assert rows(done.predictions, "hadm_id", "predicted_probability", "predicted_label", "model_version") == want and len(want) == 5
+    assert done.master.count() == done.model_ready.count() == 5
+    again = clinical.score_processed(spark, f"{tmp_path}/run/master.parquet", f"{tmp_path}/run/model_ready.parquet", loaded, f"{tmp_path}/p.parquet", now)
+    assert rows(again.predictions) == rows(done.predictions)
+    odd = ready.withColumn("race", F.lit("martian"))  # a level that training didn't see is all zeros
+    assert loaded.score(odd).count() == 5
+    with pytest.raises(contract.SchemaError):
+        loaded.score(ready.drop("age"))
+    with pytest.raises(contract.SchemaError):
+        loaded.predict(ready.drop("hadm_id"))
+    with pytest.raises(FileNotFoundError):
+        inference.Scorer.load(spark, f"{tmp_path}/nothing")
+
+
+def test_model_input_is_reused_or_rebuilt(spark, tmp_path):
+    path, made = f"{tmp_path}/in.parquet", []
+
+    def rebuild():
+        made.append(1)
+        return spark.createDataFrame([(1, 2, 0)], "subject_id int, age int, target int")
+
+    for want in (1, 1):
+        got = inference.model_input(spark, path, ["age", "target"], rebuild, ["subject_id", "target"])
+        assert got.columns == ["age"] and len(made) == want
+    with pytest.raises(ValueError):
+        inference.model_input(spark, path, ["age", "new"], rebuild)
+    assert len(made) == 2
+
+
+def test_mlp_stops_early_and_balances(spark):
+    rng = np.random.default_rng(2)
+    a = rng.normal(size=(300, 2))
+    df = models.Features.fit(d := spark.createDataFrame([(float(x), float(y), int(x + y > 1.2)) for x, y in a], "a double, b double, y int"), ["a", "b"]).apply(d)
+    model, losses = models.fit_mlp(df, df, "y", hidden=(4,), epochs=12, patience=2)
+    assert models.rank_metrics(models.positive_score(model, df), "y", "score")["roc_auc"] > 0.9 and len(losses) <= 12 and min(losses) <= losses[0]
+    assert models.repeated(df, "y", 3.4).where("y = 1").count() == 3 * df.where("y = 1").count()
+
+
+def test_leaderboard_reranks_and_keeps_to_its_time(spark):
+    rng = np.random.default_rng(3)
+    df = models.Features.fit(d := spark.createDataFrame([(float(x), int(x > 1)) for x in rng.normal(size=200)], "a double, y int"), ["a"]).apply(d)
+    fitted = {}
+    board = models.leaderboard(df, df, "y", kinds=("logistic", "tree"), fitted=fitted)
+    assert {r["model"] for r in board} == set(fitted) and len(board) == 4 and board[0]["pr_auc"] == max(r["pr_auc"] for r in board)
+    assert len(models.rerank(board, fitted, df, "y", 2)) == 2
+    assert len(models.leaderboard(df, df, "y", kinds=("logistic", "tree"), seconds=0)) == 1
+
+
+def test_smote_tomek_and_context(spark):
+    pts = [(i, [float(i % 7), float(i)], 0) for i in range(20)] + [(100 + i, [float(i), 30.0 + i], 1) for i in range(6)] + [(200, [5.1, 19.05], 1), (300, None, 1)]
+    df = spark.createDataFrame(pts, "i int, v array<double>, l int")
+    out = {r["id"]: r for r in neighbors.smote_tomek(df, "i", "v", "l", 1, k=2, copies=3).collect()}
+    links = rows(neighbors.tomek_links(df, "i", "v", "l"))
+    assert sum("#" in i for i in out) >= 15 and "300" not in out and links
+    assert all(r["label"] == 1 for i, r in out.items() if "#" in i)
+    scored = dict(rows(neighbors.context_scores(df, df, "i", "v", "l", k=3, chunk=4)))
+    assert len(scored) == 27 and all(0 <= x <= 1 for x in scored.values()) and scored[103] > 0.9 > 0.1 > scored[2]
+    assert neighbors.context_scores(df.limit(0), df, "i", "v", "l").count() == 0
