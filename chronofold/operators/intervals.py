@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronofold.operators.skew import PARTS, SHARD_ROWS, carried_in, time_shards, with_shards
+from chronofold.session import materialize
 
 
 def sweep_periods(intervals: DataFrame, entity: str, start: str, end: str, member: str, *, floor: int = SHARD_ROWS, parts: int = PARTS) -> DataFrame:
@@ -28,6 +29,7 @@ def sweep_periods(intervals: DataFrame, entity: str, start: str, end: str, membe
     else:
         cut = with_shards(bounds, shards, "__e", "__t")
         summed = cut.where(F.col("__hot")).groupBy("__e", "__shard", "__t", F.signum("__d").alias("__sign")).agg(F.sum("__d").alias("__d"), F.min("__m1").alias("__m1"), F.max("__m2").alias("__m2"))
+        summed = materialize(summed)  # read three times
         before, after = Window.partitionBy("__e").orderBy("__shard").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("__e").orderBy("__shard")
         open_in = summed.groupBy("__e", "__shard").agg(F.sum("__d").alias("__s"), F.min("__t").alias("__first")).select("__e", "__shard", F.sum("__s").over(before).alias("__open"), F.lead("__first").over(after).alias("__next"))
         active = carried_in(summed, shards, open_in, "__e")
