@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chronofold.operators.skew import PARTS, SHARD_ROWS, carried_in, time_shards, with_shards
+from chronofold.session import materialize
 
 
 @dataclass(frozen=True)
@@ -109,6 +110,8 @@ def known_at_admission(events: DataFrame, admissions: DataFrame, drgcodes: DataF
     """
     stays = admissions.groupBy("hadm_id").agg(F.min("subject_id").alias("subject_id"), F.min("admittime").alias("admittime"))
     codings = first_loaded(drgcodes.withColumn("drg_mortality", F.nanvl("drg_mortality", F.lit(None).cast("double"))), ["subject_id", "hadm_id", "drg_severity", "drg_mortality"])
+    # The merge reads its inputs once to find hot subjects and again to cut them; what an aggregate made is written once.
+    stays, codings = materialize(stays), materialize(codings)
     facts = [
         Fact(stays, "admittime", {"known_num_prev_visits": ("count", None), "__first_stay": ("min", "admittime")}, tie="hadm_id"),
         Fact(codings, "loaded_at", {"__sum": ("sum", "drg_mortality"), "__n": ("count", "drg_mortality")}),
