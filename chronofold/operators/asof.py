@@ -61,18 +61,19 @@ def asof_state(events: DataFrame, facts: Sequence[Fact], entity: str, event_time
     # One layout for all parts before they are put together: aligning them one by one would wrap the plan once more for every part.
     layout = {f.name: f.dataType for piece in pieces for f in piece.schema.fields}
     pieces = [piece.select(*[F.col(c) if c in piece.columns else F.lit(None).cast(kind).alias(c) for c, kind in layout.items()]) for piece in pieces]
-    timeline = pieces[0]
-    for piece in pieces[1:]:
-        timeline = timeline.union(piece)
-    points = events.select(F.col(entity).alias("__e"), F.col(event_time).alias("__t"))
-    for f in facts:
-        points = points.union(f.df.select(F.col(entity).alias("__e"), F.col(f.time).alias("__t")))
+    known = pieces[1] if len(pieces) > 1 else pieces[0].limit(0)
+    for piece in pieces[2:]:
+        known = known.union(piece)
+    # The facts are read four times: to find hot entities, to cut them, to merge, to carry states in. What made them (joins, first occurrences) runs once.
+    known = materialize(known)
+    timeline = pieces[0].union(known)
+    points = timeline.select("__e", "__t")
     shards = time_shards(points, "__e", "__t", floor=floor, parts=parts)
     cut = with_shards(timeline, shards, "__e", "__t")
     order = ["__t", "__rank", "__tie", "__kind"]
     earlier = Window.partitionBy("__e", "__shard").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = cut.select("__e", "__shard", "__kind", "__ev", *[_fold(agg, F.col(f"__s_{out}"), earlier).alias(f"__l_{out}") for out, (agg, _) in spark_states.items()]).where(F.col("__kind") == 0)
-    carried = cut.where(F.col("__hot")).groupBy("__e", "__shard").agg(*[_fold(agg, F.col(f"__s_{out}")).alias(f"__s_{out}") for out, (agg, _) in spark_states.items()])
+    carried = with_shards(known, shards, "__e", "__t").where(F.col("__hot")).groupBy("__e", "__shard").agg(*[_fold(agg, F.col(f"__s_{out}")).alias(f"__s_{out}") for out, (agg, _) in spark_states.items()])
     shards_before = Window.partitionBy("__e").orderBy("__shard").rowsBetween(Window.unboundedPreceding, -1)
     carried = carried.select("__e", "__shard", *[_fold(agg, F.col(f"__s_{out}"), shards_before).alias(f"__c_{out}") for out, (agg, _) in spark_states.items()])
     merged = carried_in(local, shards, carried, "__e")
@@ -102,7 +103,7 @@ def first_loaded(df: DataFrame, keys: Sequence[str], loaded: str = "loaded_at")
     return df.groupBy(*keys).agg(F.min(loaded).alias(loaded))
 
 
-def known_at_admission(events: DataFrame, admissions: DataFrame, drgcodes: DataFrame) -> DataFrame:
+def known_at_admission(events: DataFrame, admissions: DataFrame, drgcodes: DataFrame, **sharding: int) -> DataFrame:
     """Events with ``known_num_prev_visits`` and ``known_avg_prev_drg_mortality`` as of their admittime.
 
     Visits are the distinct hadm_id before the event by (admittime, hadm_id); the mean is over DRG
@@ -110,13 +111,11 @@ def known_at_admission(events: DataFrame, admissions: DataFrame, drgcodes: DataF
     """
     stays = admissions.groupBy("hadm_id").agg(F.min("subject_id").alias("subject_id"), F.min("admittime").alias("admittime"))
     codings = first_loaded(drgcodes.withColumn("drg_mortality", F.nanvl("drg_mortality", F.lit(None).cast("double"))), ["subject_id", "hadm_id", "drg_severity", "drg_mortality"])
-    # The merge reads its inputs once to find hot subjects and again to cut them; what an aggregate made is written once.
-    stays, codings = materialize(stays), materialize(codings)
     facts = [
         Fact(stays, "admittime", {"known_num_prev_visits": ("count", None), "__first_stay": ("min", "admittime")}, tie="hadm_id"),
         Fact(codings, "loaded_at", {"__sum": ("sum", "drg_mortality"), "__n": ("count", "drg_mortality")}),
     ]
-    known = asof_state(events, facts, "subject_id", "admittime", "hadm_id")
+    known = asof_state(events, facts, "subject_id", "admittime", "hadm_id", **sharding)
     mean = F.when(F.col("__first_stay").isNull() | (F.col("__first_stay") >= F.col("admittime")), F.lit(0.0)).when(F.col("__n") > 0, F.col("__sum") / F.col("__n"))
     return known.withColumn("known_avg_prev_drg_mortality", mean).drop("__first_stay", "__sum", "__n")
 

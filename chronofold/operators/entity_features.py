@@ -111,8 +111,8 @@ def prior_diagnoses(master: DataFrame, admissions: DataFrame, diagnoses: DataFra
     """Master rows with ``known_num_prev_diagnoses``: distinct codes of each of the subject's strictly earlier stays, added up."""
     code = normal_code(F.col("icd_code"))
     per_stay = diagnoses.where(F.col("hadm_id").isNotNull()).select("hadm_id", code.alias("code")).where(F.col("code").isNotNull()).distinct()
-    # The store and the merge read their inputs once to find hot subjects and again to cut them; what aggregates and joins made is written once.
+    # The store reads its input once to find hot subjects and again to cut them; what aggregates and joins made is written once.
     events = materialize(per_stay.groupBy("hadm_id").agg(F.count(F.lit(1)).alias("n_codes")).join(stays_of(admissions), "hadm_id").select("subject_id", F.lit("dx").alias("type"), "admittime", "n_codes"))
-    store = materialize(cumulative_store(events, "subject_id", "type", "admittime", "n_codes", grain="instant"))
+    store = cumulative_store(events, "subject_id", "type", "admittime", "n_codes", grain="instant")
     read = asof_counts(store, master, "subject_id", "admittime", "dx", "__n", "known_num_prev_diagnoses")
     return read.drop("__n").withColumn("known_num_prev_diagnoses", F.col("known_num_prev_diagnoses").cast("long"))

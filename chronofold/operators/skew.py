@@ -1,7 +1,7 @@
 """Primitives that keep hot keys from landing in one task.
 
-What is hot follows from the number of rows alone: a key is hot if it has more rows than a *part*, and a part is a ``parts``-th of all rows (at least
-``floor``, below which cutting saves nothing). So there are fewer than ``parts`` hot keys and fewer than about ``2 * parts`` pieces of them at any size of
+What is hot follows from the numbers of rows, keys and tasks: a key is hot if it has more rows than a *part*, and a part is a ``parts``-th of all rows, at least
+``floor``, below which cutting saves nothing (time lines: and at least EVEN times the mean of a key, or a quarter of a task's share). So there are fewer than ``parts`` hot keys and fewer than about ``2 * parts`` pieces of them at any size of
 the data: that is the bound behind every broadcast here, and no piece grows faster than the data divided by ``parts``.
 Hot keys are found by one aggregate, partial before the shuffle. Without a hot key the plain plan is built.
 """
@@ -18,17 +18,24 @@ from pyspark.sql.types import LongType, StructField, StructType
 #: Parts that all rows are thought cut in; the bound of broadcasts and of what comes to the driver.
 PARTS = 100_000
 #: Rows up to which an entity's time line isn't cut.
-SHARD_ROWS = 16
+SHARD_ROWS = 64
+#: Times the mean rows of an entity up to which its time line isn't cut, in tables whose entities are many.
+EVEN = 8
 #: Rows up to which a key of a join, or a slice of a ranking, is left to one task.
 TASK_ROWS = 100_000
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], *, floor: int = TASK_ROWS, parts: int = PARTS, extra: Sequence[tuple[str, Column]] = ()) -> list[Row]:
-    """(keys, __n, __part, extra aggregates) of the keys with more rows than a part, the most frequent first: fewer than ``parts`` rows. Null keys count as keys."""
+def hot_keys(df: DataFrame, keys: Sequence[str], *, floor: int = TASK_ROWS, parts: int = PARTS, tasks: int = 0, extra: Sequence[tuple[str, Column]] = ()) -> list[Row]:
+    """(keys, __n, __part, extra aggregates) of the keys with more rows than a part, the most frequent first: fewer than ``parts`` rows. Null keys count as keys.
+
+    With ``tasks``, a part is also at least EVEN times the mean rows of a key, as keys that are all alike need no cutting, unless that is more than a quarter of a task's share.
+    """
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *[c.alias(name) for name, c in extra])
     # The total is taken over the same aggregate, extra columns included, so that both read one exchange.
-    total = groups.agg(F.struct(F.sum("__n").alias("n"), *[F.max(name).alias(name) for name, _ in extra]).alias("x")).scalar()
+    total = groups.agg(F.struct(F.sum("__n").alias("n"), F.count(F.lit(1)).alias("k"), *[F.max(name).alias(name) for name, _ in extra]).alias("x")).scalar()
     part = F.greatest(F.lit(floor).cast("long"), F.ceil(total["n"] / F.lit(parts)))
+    if tasks:
+        part = F.greatest(part, F.least(F.ceil(F.try_divide(total["n"] * EVEN, total["k"])), F.ceil(total["n"] / F.lit(4 * tasks))))
     return groups.withColumn("__part", part).where("__n > __part").orderBy(F.col("__n").desc(), *keys).collect()
 
 
@@ -105,7 +112,8 @@ def time_shards(timeline: DataFrame, entity: str, time: str, *, floor: int = SHA
     joined to shards. Counted and kept are about ``2 * parts`` cells at most a level. An instant is never cut.
     """
     slim = timeline.select(F.col(entity).alias("__e"), F.col(time).alias("__t")).where(F.col("__e").isNotNull() & F.col("__t").isNotNull())
-    hot = hot_keys(slim, ["__e"], floor=floor, parts=parts, extra=[("__lo", F.min("__t")), ("__span", F.timestamp_diff("MICROSECOND", F.min("__t"), F.max("__t")) + 1)])
+    tasks = int(timeline.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_keys(slim, ["__e"], floor=floor, parts=parts, tasks=tasks, extra=[("__lo", F.min("__t")), ("__span", F.timestamp_diff("MICROSECOND", F.min("__t"), F.max("__t")) + 1)])
     if not hot:
         return None
     spark, kinds, part = timeline.sparkSession, dict(slim.dtypes), hot[0]["__part"]

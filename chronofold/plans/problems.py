@@ -12,16 +12,20 @@ from chronofold.session import table
 RANGES = {"bmi_last": (10.0, 100.0), "last_systolic": (40.0, 300.0)}
 
 
-def _filled(spark: SparkSession, d: str, categories: dict[str, float] | None = None) -> DataFrame:
-    return fill.fill_along_time(table(spark, d, "master_table_model_ready"), "subject_id", "admittime", "hadm_id", RANGES, categories)
+#: Time lines of more than a few rows are cut in the queries named _sharded, so that they must agree with the same SQL as the others.
+SMALL = {"floor": 4}
+
+
+def _filled(spark: SparkSession, d: str, categories: dict[str, float] | None = None, **sharding: int) -> DataFrame:
+    return fill.fill_along_time(table(spark, d, "master_table_model_ready"), "subject_id", "admittime", "hadm_id", RANGES, categories, **sharding)
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return fill.filled_cases(_filled(spark, d), list(RANGES), "hadm_id")
 
 
-def p1_filled(spark: SparkSession, d: str) -> DataFrame:
-    filled = _filled(spark, d, {"marital_status": 365.0})
+def p1_filled(spark: SparkSession, d: str, **sharding: int) -> DataFrame:
+    filled = _filled(spark, d, {"marital_status": 365.0}, **sharding)
     return filled.select(
         "hadm_id",
         *[x for c in RANGES for x in (F.round(f"{c}_filled", 8).alias(f"{c}_filled"), F.col(f"{c}_method"), F.round(f"{c}_days", 8).alias(f"{c}_days"))],
@@ -29,16 +33,24 @@ def p1_filled(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def _known(spark: SparkSession, d: str) -> DataFrame:
-    return asof.known_at_admission(table(spark, d, "master_table"), table(spark, d, "admissions"), table(spark, d, "drgcodes"))
+def p1_filled_sharded(spark: SparkSession, d: str) -> DataFrame:
+    return p1_filled(spark, d, **SMALL)
+
+
+def _known(spark: SparkSession, d: str, **sharding: int) -> DataFrame:
+    return asof.known_at_admission(table(spark, d, "master_table"), table(spark, d, "admissions"), table(spark, d, "drgcodes"), **sharding)
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return asof.mismatches(_known(spark, d), {"num_prev_visits": "known_num_prev_visits", "avg_prev_drg_mortality": "known_avg_prev_drg_mortality"}, "hadm_id")
 
 
-def p2_known(spark: SparkSession, d: str) -> DataFrame:
-    return _known(spark, d).select("hadm_id", F.col("known_num_prev_visits").alias("num_prev_visits"), F.round("known_avg_prev_drg_mortality", 6).alias("avg_prev_drg_mortality"))
+def p2_known(spark: SparkSession, d: str, **sharding: int) -> DataFrame:
+    return _known(spark, d, **sharding).select("hadm_id", F.col("known_num_prev_visits").alias("num_prev_visits"), F.round("known_avg_prev_drg_mortality", 6).alias("avg_prev_drg_mortality"))
+
+
+def p2_known_sharded(spark: SparkSession, d: str) -> DataFrame:
+    return p2_known(spark, d, **SMALL)
 
 
 def _subject_labs(spark: SparkSession, d: str) -> DataFrame:
@@ -113,8 +125,8 @@ def p5_stay_totals(spark: SparkSession, d: str) -> DataFrame:
     return out.select("hadm_id", *[F.round(c, 8).alias(c) if c.endswith(("__total", "days")) else F.col(c) for c in out.columns if "__" in c])
 
 
-def _periods(spark: SparkSession, d: str) -> DataFrame:
-    return intervals.sweep_periods(intervals.stay_intervals(table(spark, d, "admissions")), "subject_id", "start", "end", "hadm_id")
+def _periods(spark: SparkSession, d: str, **sharding: int) -> DataFrame:
+    return intervals.sweep_periods(intervals.stay_intervals(table(spark, d, "admissions")), "subject_id", "start", "end", "hadm_id", **sharding)
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
@@ -125,11 +137,15 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return _periods(spark, d).select("subject_id", F.explode(F.array_compact(F.array(joint, gap))).alias("x")).select("subject_id", "x.*")
 
 
-def p7_periods(spark: SparkSession, d: str) -> DataFrame:
-    return _periods(spark, d).select("subject_id", F.col("period_no").cast("long").alias("period_no"), "period_start", "period_end")
+def p7_periods(spark: SparkSession, d: str, **sharding: int) -> DataFrame:
+    return _periods(spark, d, **sharding).select("subject_id", F.col("period_no").cast("long").alias("period_no"), "period_start", "period_end")
+
 
+def p7_periods_sharded(spark: SparkSession, d: str) -> DataFrame:
+    return p7_periods(spark, d, **SMALL)
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_filled, p2_found, p2_known, p3_found, p3_subject_labs, p3_labs_by_admission_type, p4_found, p4_report, p5_found, p5_stay_features, p5_stay_types, p5_stay_totals, p7_found, p7_periods)}
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_filled, p1_filled_sharded, p2_found, p2_known, p2_known_sharded, p3_found, p3_subject_labs, p3_labs_by_admission_type, p4_found, p4_report, p5_found, p5_stay_features, p5_stay_types, p5_stay_totals, p7_found, p7_periods, p7_periods_sharded)}
 
 _P2 = """
 stays AS (SELECT hadm_id, min(subject_id) AS subject_id, min(admittime) AS admittime FROM admissions GROUP BY hadm_id),
@@ -236,3 +252,5 @@ SELECT hadm_id FROM master_table m JOIN known k USING (hadm_id) WHERE m.num_prev
 UNION ALL SELECT subject_id, 'gap', strftime(period_end, '%Y-%m-%d %H:%M:%S'), strftime(nxt, '%Y-%m-%d %H:%M:%S') FROM (SELECT *, lead(period_start) OVER (PARTITION BY subject_id ORDER BY period_no) AS nxt FROM periods) WHERE nxt IS NOT NULL""",
     "p7_periods": f"WITH {_P7} SELECT subject_id, period_no::BIGINT AS period_no, period_start, period_end FROM periods",
 }
+
+SQL |= {f"{name}_sharded": SQL[name] for name in ("p1_filled", "p2_known", "p7_periods")}
