@@ -56,6 +56,12 @@ class ModelSchema:
         return df.select(*[number(missing_to_null(F.col(c).cast("string"))).alias(c) for c in self.numeric], *[missing_to_null(c).alias(c) for c in self.categorical], *[c for c in df.columns if c in self.optional])
 
 
+def column_differences(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(name, side): the columns that only one of two tables has; side is ``left`` or ``right``."""
+    rows = [(c, "left") for c in a.columns if c not in b.columns] + [(c, "right") for c in b.columns if c not in a.columns]
+    return a.sparkSession.createDataFrame(rows, "name string, side string")
+
+
 def exact_columns(df: DataFrame, columns: Sequence[str], *, ordered: bool = False) -> None:
     missing, extra = [c for c in columns if c not in df.columns], [c for c in df.columns if c not in columns]
     if missing or extra:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -166,3 +166,9 @@ def best_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column],
 def group_label(df: DataFrame, group: str, label: str) -> DataFrame:
     """(group, label): the greatest label of its rows."""
     return df.groupBy(group).agg(F.max(label).alias(label))
+
+
+def observed(df: DataFrame, name: str, **figures: Column) -> tuple[DataFrame, Observation]:
+    """``df`` with an observer that counts ``n_rows`` and ``figures`` while some action runs over it, without a pass of its own: progress and totals of a running job. ``observation.get`` waits for that action."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("n_rows"), *[c.alias(k) for k, c in figures.items()]), seen

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronofold.functions import exprs as x
-from chronofold.operators import contract, profile, relational
+from chronofold.operators import contract, impute, profile, relational
 from chronofold.plans.registry import Registry
 from chronofold.session import scratch_path, table
 from chronofold.sources import readers, writers
@@ -308,3 +308,58 @@ def grouping_sets_revenue(s, d):
     j = table(s, d, "lineitem").join(table(s, d, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(table(s, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(F.broadcast(table(s, d, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
     dims = ["n_regionkey", "n_name", "l_returnflag"]
     return j.groupingSets([["n_regionkey", "n_name"], ["l_returnflag"], []], *dims).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"), F.grouping_id().alias("level"))
+
+
+# Sinks, schemas and progress
+
+_DESCRIBED_TYPES = "(SELECT column_name, column_type, row_number() OVER () AS place FROM (DESCRIBE SELECT * FROM master_table))"
+
+
+@query(f"SELECT column_name AS name, (place - 1)::BIGINT AS position, column_name IN ('age', 'target') AS in_template FROM {_DESCRIBED_TYPES}")
+def schema_probe(s, d):
+    """The columns of a CSV table from its header, and those that an earlier output has, too."""
+    path = scratch_path(s)
+    writers.write_csv(table(s, d, "master_table"), f"{path}/t.csv")
+    writers.write_csv(table(s, d, "master_table").select("age", "target"), f"{path}/before.csv")
+    names, before = readers.columns_of(s, f"{path}/t.csv"), readers.template_columns(s, f"{path}/before.csv")
+    return s.createDataFrame([(c, i, c in before) for i, c in enumerate(names)], "name string, position long, in_template boolean")
+
+
+@query("SELECT 'csv' AS sink, hadm_id, age, ed_los_hours, race FROM master_table UNION ALL SELECT 'parquet', hadm_id, age, ed_los_hours, race FROM master_table")
+def dual_sinks(s, d):
+    """A table written to parquet and CSV, and read back from both by suffix."""
+    path, df = scratch_path(s), table(s, d, "master_table").select("hadm_id", "age", "ed_los_hours", "race")
+    writers.write_both(df, f"{path}/t.parquet", f"{path}/t.csv")
+    return relational.union_all(*[readers.read_table(s, f"{path}/t.{kind}", df.schema).select(F.lit(kind).alias("sink"), "*") for kind in ("csv", "parquet")])
+
+
+@query("""SELECT 'X_test.csv' AS file, 2::BIGINT AS n_columns, count(*) AS n_rows FROM master_table WHERE target IS NOT NULL UNION ALL SELECT 'y_test.csv', 1, count(*) FROM master_table WHERE target IS NOT NULL UNION ALL SELECT 'test_full.csv', 4, count(*) FROM master_table WHERE target IS NOT NULL""")
+def split_files(s, d):
+    """Features, target and the whole of a split as files, found again by fragments of their names."""
+    path = scratch_path(s)
+    writers.write_split(table(s, d, "master_table").select("hadm_id", "age", "gender", "target").where(F.col("target").isNotNull()), path, "test", "target", ["hadm_id"])
+    out = []
+    for fragments in (["x_", "test"], ["y_", "test"], ["full"]):
+        found = readers.find_files(s, path, fragments)
+        read = readers.read_table(s, found)
+        out.append(read.agg(F.lit(found.rpartition("/")[2]).alias("file"), F.lit(len(read.columns)).cast("long").alias("n_columns"), F.count(F.lit(1)).alias("n_rows")))
+    return relational.union_all(*out)
+
+
+@query("SELECT column_name AS name, 'left' AS side FROM (DESCRIBE SELECT * FROM diagnoses) WHERE column_name NOT IN (SELECT column_name FROM (DESCRIBE SELECT * FROM drgcodes)) UNION ALL SELECT column_name, 'right' FROM (DESCRIBE SELECT * FROM drgcodes) WHERE column_name NOT IN (SELECT column_name FROM (DESCRIBE SELECT * FROM diagnoses))")
+def column_differences(s, d):
+    return contract.column_differences(table(s, d, "diagnoses"), table(s, d, "drgcodes"))
+
+
+@query(f"SELECT column_name AS name FROM {_DESCRIBED_TYPES} WHERE column_type IN ('INTEGER', 'DOUBLE', 'BIGINT', 'FLOAT') AND column_name NOT IN ('subject_id', 'hadm_id', 'target')")
+def numeric_features(s, d):
+    names = impute.numeric_features(table(s, d, "master_table"), ["subject_id", "hadm_id", "target"])
+    return s.createDataFrame([(c,) for c in names], "name string")
+
+
+@query("SELECT count(*) AS n_rows, count(*) FILTER (WHERE hadm_id IS NULL) AS n_outside, round(sum(CASE WHEN isnan(valuenum) THEN NULL ELSE valuenum END), 4) AS total FROM labevents")
+def progress_totals(s, d):
+    """Totals that are counted while another job runs over the rows."""
+    df, seen = profile.observed(table(s, d, "labevents"), "labs", n_outside=F.count_if(F.col("hadm_id").isNull()), total=F.round(F.sum(x.number("valuenum")), 4))
+    df.write.format("noop").mode("overwrite").save()
+    return s.createDataFrame([(seen.get["n_rows"], seen.get["n_outside"], seen.get["total"])], "n_rows long, n_outside long, total double")

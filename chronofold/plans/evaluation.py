@@ -92,6 +92,11 @@ def best_f1_curve(s, d):
     return s.createDataFrame([(metrics.best_f1_threshold(metrics.score_groups(pred(s, d), "y", "p")), "curve")], "threshold double, rule string")
 
 
+@query(f"WITH {PRED}, {GROUPS}, top AS (SELECT arg_max(p, (2 * tp / (tp + fp + n_pos), -p)) AS t FROM c) SELECT coalesce((SELECT max(p) FROM c WHERE p < t), t) AS threshold, 'shifted' AS rule FROM top")
+def best_f1_curve_shifted(s, d):
+    return s.createDataFrame([(metrics.best_f1_threshold(metrics.score_groups(pred(s, d), "y", "p"), shifted=True), "shifted")], "threshold double, rule string")
+
+
 _DIMS = ("gender", "race", "age_group")
 _SUB = "SELECT '{0}' AS group_column, {0}::VARCHAR AS group_value, y, p FROM pred"
 _SUBSQL = f"""{PRED}, long AS ({' UNION ALL '.join(_SUB.format(x) for x in _DIMS)}),
@@ -145,6 +150,14 @@ def dashboard_join(s, d):
     return out.select("hadm_id", "predicted_label_text", "actual_label_text", "age_group_dashboard", "predicted_probability_pct")
 
 
+@query("SELECT m.hadm_id, m.subject_id, m.admittime, m.age FROM master_table m WHERE hadm_id IN (SELECT hadm_id FROM split_assignment WHERE lower(trim(split_name)) = 'deployment')")
+def deployment_rows(s, d):
+    """The rows of the given keys, each of which must have exactly one."""
+    given = table(s, d, "split_assignment").where(F.lower(F.trim("split_name")) == "deployment")
+    m = table(s, d, "master_table")
+    return scoring.deployment_rows(m, relational.semi(m, given, ["hadm_id"])).select("hadm_id", "subject_id", "admittime", "age")
+
+
 @query(f"""WITH {PRED} SELECT hadm_id, CASE WHEN year(admittime) >= 2012 THEN 0.9::DOUBLE ELSE p END AS predicted_probability FROM pred""")
 def upsert_predictions(s, d):
     old = _predictions(s, d)

@@ -160,7 +160,7 @@ s AS (SELECT subject_id, CASE WHEN pos < 0.70 THEN 'train' WHEN pos < 0.85 THEN
 
 
 def _split(s, d):
-    return sampling.group_split(table(s, d, "master_table").select("subject_id", "hadm_id", "admittime", "age", "weight_last", "last_diastolic", "target"), "subject_id", SHARES, label="target")
+    return sampling.group_split(table(s, d, "master_table").select("subject_id", "hadm_id", "admittime", *_IMPUTED, "target"), "subject_id", SHARES, label="target")
 
 
 @query(_split_sql("y", "max(target)") + " SELECT m.hadm_id, s.split FROM master_table m JOIN s USING (subject_id)")
@@ -193,6 +193,16 @@ def split_integrity(s, d):
     return coverage([split.where(F.col("split") == n) for n in SHARES], table(s, d, "master_table"), "subject_id")
 
 
+@query("""WITH p AS (SELECT DISTINCT hadm_id, lower(trim(split_name)) AS split FROM split_assignment WHERE lower(trim(split_name)) IN ('train', 'test', 'deployment')), k AS (SELECT hadm_id, count(*) AS n FROM p GROUP BY hadm_id)
+SELECT count(*) FILTER (WHERE n > 1) AS n_overlap, (SELECT count(DISTINCT hadm_id) FROM master_table WHERE hadm_id NOT IN (SELECT hadm_id FROM k)) AS n_uncovered, count(*) FILTER (WHERE hadm_id NOT IN (SELECT hadm_id FROM master_table)) AS n_foreign FROM k""")
+def given_split_coverage(s, d):
+    """How far the earlier assignment is from a sound split: stays in several splits, in none, and stays that the table lacks."""
+    from chronofold.operators.relational import coverage
+
+    given = table(s, d, "split_assignment").withColumn("split", F.lower(F.trim("split_name")))
+    return coverage([given.where(F.col("split") == n) for n in SHARES], table(s, d, "master_table"), "hadm_id")
+
+
 @query("SELECT hadm_id, age FROM master_table ORDER BY md5(hadm_id::VARCHAR || '|42'), hadm_id LIMIT 500")
 def hash_sample_topn(s, d):
     return sampling.sample_n(table(s, d, "master_table"), 500, ["hadm_id"]).select("hadm_id", "age")
@@ -206,10 +216,13 @@ def stratified_cap(s, d):
 
 # Imputation, encoding, contracts
 
-_IMPUTED = ("weight_last", "last_diastolic")
+#: All measures of the master table, as impute.numeric_features() gives them.
+_IMPUTED = tuple("""age gender ed_los_hours came_from_ed admission_hour admission_day_of_week num_prev_visits time_since_last_visit_days avg_time_between_visits_days avg_prev_los max_prev_los last_los avg_prev_ed_los max_prev_ed_los
+num_prev_diagnoses num_unique_diagnoses_icd_codes num_prev_procedures num_unique_procedure_icd_codes avg_prev_drg_severity max_prev_drg_severity avg_prev_drg_mortality max_prev_drg_mortality num_abnormal_labs abnormal_lab_ratio stat_lab_ratio
+last_lab_flag last_norm_lab num_prev_medications num_unique_drugs num_prev_transfers num_prev_icu_visits num_prev_infections num_unique_organisms num_resistant_cases bmi_last weight_last last_systolic last_diastolic last_pulse_pressure""".split())
 
 
-@query(_split_sql("y", "max(target)") + ", m AS (SELECT m.*, s.split FROM master_table m JOIN s USING (subject_id)), p AS (SELECT *, " + ", ".join(f"median({c}) OVER w AS m_{c}" for c in _IMPUTED) + " FROM m WINDOW w AS (PARTITION BY subject_id ORDER BY admittime, hadm_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) SELECT hadm_id, " + ", ".join(f"round(coalesce({c}::DOUBLE, m_{c}, (SELECT median({c}) FROM m WHERE split = 'train')), 6) AS {c}" for c in _IMPUTED) + " FROM p")
+@query(_split_sql("y", "max(target)") + ", m AS (SELECT m.*, s.split FROM master_table m JOIN s USING (subject_id)), p AS (SELECT *, " + ", ".join(f"median(CASE WHEN NOT isnan({c}::DOUBLE) THEN {c}::DOUBLE END) OVER w AS m_{c}" for c in _IMPUTED) + " FROM m WINDOW w AS (PARTITION BY subject_id ORDER BY admittime, hadm_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) SELECT hadm_id, " + ", ".join(f"round(coalesce(CASE WHEN NOT isnan({c}::DOUBLE) THEN {c}::DOUBLE END, m_{c}, (SELECT median(CASE WHEN NOT isnan({c}::DOUBLE) THEN {c}::DOUBLE END) FROM m WHERE split = 'train')), 6) AS {c}" for c in _IMPUTED) + " FROM p")
 def temporal_median_impute(s, d):
     split = _split(s, d)
     out = impute.temporal_median_impute(split.where("split = 'train'"), split, "subject_id", ["admittime", "hadm_id"], _IMPUTED)
