@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
 from chronofold.operators.asof import Fact, asof_state
+from chronofold.operators.skew import hot_keys
+
+#: Rows of an entity up to which a running median is a plain window.
+LONG = 500
 
 
 @dataclass(frozen=True)
@@ -81,10 +90,44 @@ def visit_sequence(visits: DataFrame, entity: str, time: str, tie: str, lengths:
     return one.withColumn("avg_gap_days", F.when(F.col("n_prev") >= 2, gap / (F.col("n_prev") - 1))).drop("__first", "__prev")
 
 
-def prior_median(df: DataFrame, entity: str, order: Sequence[str], columns: dict[str, str]) -> DataFrame:
+def prior_median(df: DataFrame, entity: str, order: Sequence[str], columns: dict[str, str], *, floor: int = LONG) -> DataFrame:
     """The exact median of each column (output -> column) over the entity's rows before, null and NaN left out.
 
-    A running median has no state of bounded size, so this is a plain window: an entity's rows must fit one task.
+    A running median has no state of bounded size, so an entity's rows must fit one task. Entities of up to ``floor`` rows go through a plain window, whose
+    cost is quadratic in an entity's rows; longer ones keep two heaps (n log n). Without a long entity there is no Python. Rows without an entity are one entity.
     """
     w = Window.partitionBy(entity).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumns({out: F.percentile(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), F.lit(0.5)).over(w) for out, c in columns.items()})
+    windowed = lambda d: d.withColumns({out: F.percentile(F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")), F.lit(0.5)).over(w) for out, c in columns.items()})
+    long = hot_keys(df.select(entity), [entity], floor=floor)
+    if not long:
+        return windowed(df)
+    names = df.sparkSession.createDataFrame([(r[entity], True) for r in long], StructType([StructField("__long_e", df.schema[entity].dataType), StructField("__long", BooleanType())]))
+    told = df.join(F.broadcast(names), F.col(entity).eqNullSafe(F.col("__long_e")), "left").drop("__long_e")
+    schema = StructType([*[f for f in df.schema.fields if f.name not in columns], *[StructField(out, DoubleType()) for out in columns]])
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.take(pc.sort_indices(rows, [(c, "ascending") for c in order], null_placement="at_start"))
+        found = {out: _running_medians(pc.cast(rows[c], pa.float64(), safe=False).to_numpy(zero_copy_only=False)) for out, c in columns.items()}
+        rows = rows.drop_columns([c for c in columns if c in rows.column_names])
+        for out, values in found.items():
+            rows = rows.append_column(out, pa.array(values, from_pandas=True))  # NaN, where there is nothing before, is null
+        return rows
+
+    heaps = told.where(F.col("__long")).drop("__long").groupBy(entity).applyInArrow(run, schema)
+    return windowed(told.where(F.col("__long").isNull()).drop("__long")).select(*schema.fieldNames()).unionByName(heaps)
+
+
+def _running_medians(values: np.ndarray) -> np.ndarray:
+    """The median of the values before each, NaN left out; NaN where there is none. The lower half is a heap of negated values, never smaller than the upper one."""
+    low: list[float] = []
+    high: list[float] = []
+    out = np.full(len(values), np.nan)
+    for i, v in enumerate(values.tolist()):
+        if low:
+            out[i] = -low[0] if len(low) > len(high) else (high[0] - low[0]) / 2
+        if v != v:
+            continue
+        heapq.heappush(high, -heapq.heappushpop(low, -v))
+        if len(high) > len(low):
+            heapq.heappush(low, -heapq.heappop(high))
+    return out

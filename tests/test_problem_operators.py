@@ -30,6 +30,27 @@ def test_time_shards_keep_instants_whole(spark, day):
     assert order == sorted(order)
 
 
+def test_bursts_are_cut_again(spark, day):
+    """Half of an entity's rows in one second of ten years, a quarter of all at one instant: no shard but the instant's has more than about two parts."""
+    import datetime as dt
+
+    burst = [(1, day(1000) + dt.timedelta(microseconds=137 * i)) for i in range(2000)]
+    spread = [(1, day(2 * i)) for i in range(1800)]
+    data = burst + spread + [(1, day(2001))] * 1000 + [(k, day(k)) for k in range(2, 400)]
+    df = spark.createDataFrame(data, "e int, t timestamp_ntz")
+    shards = skew.time_shards(df, "e", "t", floor=50, parts=50)
+    assert shards.depth >= 2
+    cut = [r for r in skew.with_shards(df, shards, "e", "t").collect() if r["__hot"]]
+    assert len(cut) == 4800
+    order = [r["__shard"] for r in sorted(cut, key=lambda r: r["t"])]
+    assert order == sorted(order)
+    sizes = {}
+    for r in cut:
+        sizes.setdefault(r["__shard"], set()).add(r["t"])
+    part = max(50, -(-len(data) // 50), min(8 * len(data) // 399, -(-len(data) // 16)))
+    assert max(len(x) for x in sizes.values()) <= 2 * part
+
+
 @pytest.mark.parametrize("small", [dict(floor=10, parts=40), {}])
 def test_fill_against_brute_force(spark, day, small):
     df, data = stays(spark, day)

@@ -150,6 +150,18 @@ def test_history_leaks_nothing(spark, day):
     assert (full[1]["n"], full[1]["d"], full[1]["a"], full[1]["l"]) == (5, 4, 2.0, 4.0) and full[0]["n"] == 0
 
 
+def test_prior_median_of_long_entities(spark):
+    rng = np.random.default_rng(5)
+    data = [(int(e) if e < 3 else None, i, [None, float("nan"), float(rng.integers(0, 9)), 2.5][int(rng.integers(0, 4))], "x") for i, e in enumerate(rng.integers(0, 4, 400))]
+    df = spark.createDataFrame(data, "e int, t int, v double, other string")
+    plain = history.prior_median(df, "e", ["t"], {"m": "v"})
+    got = history.prior_median(df, "e", ["t"], {"m": "v"}, floor=98)
+    assert got.columns == plain.columns == ["e", "t", "v", "other", "m"]
+    big = df.withColumn("other", F.lit(2**60 + 1))
+    assert {r["other"] for r in history.prior_median(big, "e", ["t"], {"m": "v"}, floor=98).collect()} == {2**60 + 1}
+    assert repr(rows(got)) == repr(rows(plain)) and len(rows(got)) == 400
+
+
 def test_impute_scale_encode(spark, day):
     df = spark.createDataFrame([(1, 1, 10.0), (1, 2, None), (1, 3, 20.0), (1, 4, float("nan")), (2, 1, None)], "e int, t int, v double")
     got = rows(impute.temporal_median_impute(df, df, "e", ["t"], ["v"]), "e", "t", "v")
