@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronofold.operators import asof, eager, entity_features, fill, intervals, orphans
-from chronofold.session import table
+from chronofold.session import materialize, table
 
 #: Usable ends of the readings.
 RANGES = {"bmi_last": (10.0, 100.0), "last_systolic": (40.0, 300.0)}
@@ -100,7 +100,7 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
 def _stay_counts(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """The figures of every stay and type, and the stays with the midnight after their last event, from which they look back."""
     events = entity_features.clinical_events(table(spark, d, "labevents"), table(spark, d, "drgcodes"), table(spark, d, "diagnoses"))
-    store = entity_features.cumulative_store(events, "hadm_id", "type", "at", "value")
+    store = materialize(entity_features.cumulative_store(events, "hadm_id", "type", "at", "value"))  # read for the last times and for the windows
     last = store.groupBy("hadm_id").agg((F.date_trunc("day", F.max("last_time")).cast("timestamp_ntz") + F.expr("interval 1 day")).alias("as_of"))
     stays = entity_features.stays_of(table(spark, d, "admissions")).select("hadm_id").join(last, "hadm_id", "left")
     return entity_features.window_counts(store, stays, "hadm_id", "as_of", [7, 30]), stays
