@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -230,8 +231,10 @@ def _model_data(s, d):
 
 
 def _rows(s, found):
+    """A few rows of the driver as a local relation, which no task has to carry."""
     schema = ", ".join(f"`{k}` {'string' if isinstance(v, (str, dict)) else 'double'}" for k, v in found[0].items())
-    return s.createDataFrame([tuple(str(v) if isinstance(v, (str, dict)) else None if v is None else float(v) for v in r.values()) for r in found], schema)
+    rows = [tuple(str(v) if isinstance(v, (str, dict)) else None if v is None else float(v) for v in r.values()) for r in found]
+    return s.createDataFrame(pd.DataFrame(rows, columns=list(found[0])), schema)
 
 
 @query()
