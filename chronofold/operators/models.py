@@ -81,7 +81,14 @@ def fit(df: DataFrame, kind: str, label: str, *, balanced: bool = False, **param
             est = est.setWeightCol("__w")
     if kind == "mlp" and "layers" not in params:
         est = est.setLayers([_width(df), *HIDDEN, 2])
-    return est.fit(data)
+    return without_summary(est.fit(data))
+
+
+def without_summary(model: Transformer) -> Transformer:
+    """The model without its training summary, which holds the training rows' plan and the session: neither belongs in the tasks that score, and a session that observes queries can't be sent to them."""
+    if getattr(model, "hasSummary", False):
+        model._java_obj.setSummary(model._java_obj.getClass().getClassLoader().loadClass("scala.None$").getField("MODULE$").get(None))
+    return model
 
 
 def repeated(df: DataFrame, label: str, times: float) -> DataFrame:
@@ -105,6 +112,7 @@ def fit_mlp(train: DataFrame, held: DataFrame, label: str, *, hidden: Sequence[i
         for _ in range(epochs):
             est = C.MultilayerPerceptronClassifier(featuresCol="features", labelCol="__y", layers=[_width(train), *hidden, 2], maxIter=steps, seed=seed, tol=1e-9)
             model = (est.setInitialWeights(weights) if weights is not None else est).fit(data)
+            without_summary(model)
             weights = model.weights
             losses.append(metrics.probability_losses(positive_score(model, held), label, "score").first()["log_loss"])
             if best is None or losses[-1] < best[0] - delta:
